@@ -157,12 +157,13 @@ def check_schema(df: DataFrame, required: Sequence[str]) -> DataFrame:
     return df
 
 
-def rebuild_comparison(new: DataFrame, old: DataFrame, key: str, target: str) -> DataFrame:
+def rebuild_comparison(new: DataFrame, old: DataFrame, key: str | Sequence[str], target: str) -> DataFrame:
     """Rows new/old/common, same columns?, max |new - old| of the target."""
     same = sorted(new.columns) == sorted(old.columns)
-    n = new.select(key, F.col(target).alias("_n"), F.lit(1).alias("_in_n"))
-    o = old.select(key, F.col(target).alias("_o"), F.lit(1).alias("_in_o"))
-    j = n.join(o, key, "full")
+    keys = [key] if isinstance(key, str) else list(key)
+    n = new.select(*keys, F.col(target).alias("_n"), F.lit(1).alias("_in_n"))
+    o = old.select(*keys, F.col(target).alias("_o"), F.lit(1).alias("_in_o"))
+    j = n.join(o, keys, "full")
     return j.agg(F.count("_in_n").alias("rows_new"), F.count("_in_o").alias("rows_old"),
                  F.count_if(F.col("_in_n").isNotNull() & F.col("_in_o").isNotNull()).alias("rows_common"),
                  F.max(F.abs(F.col("_n") - F.col("_o"))).alias("max_abs_diff"),

@@ -127,7 +127,9 @@ def lookback_features(df: DataFrame, series: Sequence[str], pos: str, spec: Look
     """
     lb = max(spec.lookback, 1)
     br = bucket_rows or max(DEFAULT_BUCKET_ROWS, 4 * lb)
-    h = _with_halo(df, pos, lb, br)
+    # Explicit exchange on (series, bucket): an upstream hash(series) partitioning
+    # would otherwise satisfy the window's clustering and keep a hot series in one task.
+    h = _with_halo(df, pos, lb, br).repartition(*[F.col(c) for c in series], F.col("_tgt"))
     w = Window.partitionBy(*series, "_tgt").orderBy(F.col(pos))
 
     def at(col: str, k: int) -> Column:
@@ -152,7 +154,7 @@ def _running(df: DataFrame, series: Sequence[str], pos: str, cols: Sequence[str]
              kind: str, reverse: bool = False) -> DataFrame:
     """Unbounded running window = in-bucket window + carry from earlier buckets."""
     bkt = F.floor(F.col(pos) / F.lit(bucket_rows))
-    d = df.withColumn("_bkt", bkt)
+    d = df.withColumn("_bkt", bkt).repartition(*[F.col(c) for c in series], F.col("_bkt"))
     o = F.col(pos).desc() if reverse else F.col(pos)
     w = Window.partitionBy(*series, "_bkt").orderBy(o).rowsBetween(Window.unboundedPreceding, 0)
     bo = F.col("_bkt").desc() if reverse else F.col("_bkt")

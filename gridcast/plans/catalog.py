@@ -1,3 +1,5 @@
 """Import every query module so their ``@query`` registrations run."""
 
 from . import q_core  # noqa: F401
+from . import q_sources  # noqa: F401
+from . import q_time  # noqa: F401

@@ -29,9 +29,9 @@ def seasonal_naive_metrics(t: Tables):
     spec = Lookback().lag("lag24", "value", 24).lag("lag168", "value", 168)
     f = lookback_features(g, ["series_id"], "pos", spec)
     d = f.filter(F.col("value").isNotNull() & F.col("lag24").isNotNull() & F.col("lag168").isNotNull())
-    p = (d.select("series_id", F.lit("naive24").alias("model"), F.col("value").alias("y"), F.col("lag24").alias("yhat"))
-         .unionByName(d.select("series_id", F.lit("naive168").alias("model"), F.col("value").alias("y"),
-                               F.col("lag168").alias("yhat"))))
+    p = (d.select("series_id", F.col("value").alias("y"), F.col("lag24").alias("naive24"),
+                  F.col("lag168").alias("naive168"))
+         .unpivot(["series_id", "y"], ["naive24", "naive168"], "model", "yhat"))
     return forecast_metrics(p, ["series_id", "model"], "y", "yhat", 0)
 
 

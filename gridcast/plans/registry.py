@@ -31,22 +31,27 @@ def finish(df: DataFrame, digits: int = DIGITS) -> DataFrame:
             c = F.round(c.cast("double"), digits)
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")
+        elif isinstance(f.dataType, T.DateType):
+            c = F.date_format(c, "yyyy-MM-dd")
         elif isinstance(f.dataType, T.DecimalType):
             c = F.round(c.cast("double"), digits)
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
 
-def rounded_sql(inner: str, doubles: Sequence[str] = (), ints: Sequence[str] = ()) -> str:
-    """Wrap oracle SQL: round the named double columns, cast the named int columns."""
+def rounded_sql(inner: str, doubles: Sequence[str] = (), ints: Sequence[str] = (),
+                dates: Sequence[str] = ()) -> str:
+    """Wrap oracle SQL: round doubles, cast ints to BIGINT and dates to ISO text."""
     rep = [f"round(CAST({c} AS DOUBLE), {DIGITS}) + 0.0 AS {c}" for c in doubles]
     rep += [f"CAST({c} AS BIGINT) AS {c}" for c in ints]
+    rep += [f"strftime(CAST({c} AS DATE), '%Y-%m-%d') AS {c}" for c in dates]
     if not rep:
         return inner
     return f"SELECT * REPLACE ({', '.join(rep)}) FROM (\n{inner}\n) AS q"
 
 
-def query(name: str, sql: str | None = None, doubles: Sequence[str] = (), ints: Sequence[str] = ()):
+def query(name: str, sql: str | None = None, doubles: Sequence[str] = (), ints: Sequence[str] = (),
+          dates: Sequence[str] = ()):
     """Register ``fn(spark, sf_dir)``; its result is passed through :func:`finish`."""
 
     def deco(fn):
@@ -58,7 +63,7 @@ def query(name: str, sql: str | None = None, doubles: Sequence[str] = (), ints:
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
         if sql is not None:
-            ORACLE[name] = rounded_sql(sql, doubles, ints)
+            ORACLE[name] = rounded_sql(sql, doubles, ints, dates)
         return run
 
     return deco
