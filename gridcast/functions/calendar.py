@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # --- fixed values (must match the reference) ---------------------------------
@@ -35,6 +35,8 @@ EASTER_HOLIDAYS = [
 HEAT_BASE_C = 18.0
 COOL_BASE_C = 22.0
 HOUR_HARMONICS = (1, 2, 3)
+# Substitute days off for fixed holidays falling on a weekend apply from this year.
+SUBSTITUTES_SINCE = 2017
 DAYS_PER_YEAR = 365.25
 # ------------------------------------------------------------------------------
 
@@ -88,10 +90,16 @@ def holiday_classes(month, day, is_holiday) -> dict[str, Column]:
             "hol_other": F.least(F.greatest(_c(is_holiday) - em, F.lit(0.0)), F.lit(1.0))}
 
 
-def holiday_calendar(spark: SparkSession, years: DataFrame, year_col: str = "year") -> DataFrame:
+def holiday_calendar(spark: SparkSession, years: DataFrame, year_col: str = "year",
+                     substitutes_since: int | None = SUBSTITUTES_SINCE) -> DataFrame:
     """H6/H7: one row per holiday date ``(date, name)`` for the given years.
 
-    ``years`` is a (small) DataFrame of years, usually derived from the data's range.
+    ``years`` is a (small) DataFrame of years, usually derived from the data's
+    range. A fixed holiday on a weekend (from ``substitutes_since``) adds a
+    substitute day: the k-th following weekday that is not itself a holiday, where k
+    counts the weekend fixed holidays of the same cluster (e.g. Dec 24 on Saturday
+    and Dec 25 on Sunday give the next two free weekdays). Every table here has
+    one row per holiday, so all joins are against calendar-bounded data.
     """
     fixed = spark.createDataFrame(FIXED_HOLIDAYS, "month int, day int, name string")
     moving = spark.createDataFrame(EASTER_HOLIDAYS, "offset int, name string")
@@ -99,7 +107,21 @@ def holiday_calendar(spark: SparkSession, years: DataFrame, year_col: str = "yea
     f = y.crossJoin(F.broadcast(fixed)).select(F.make_date("year", "month", "day").alias("date"), "name")
     m = (y.crossJoin(F.broadcast(moving))
          .select(F.date_add(easter_orthodox(F.col("year")), F.col("offset")).alias("date"), "name"))
-    return f.unionByName(m)
+    base = f.unionByName(m)
+    if substitutes_since is None:
+        return base
+    wk = (f.filter((F.weekday("date") >= 5) & (F.year("date") >= substitutes_since))
+          .withColumn("_t", F.unix_date("date")))
+    cluster = Window.orderBy("_t").rangeBetween(-2, 0)
+    wk = wk.withColumn("_k", F.count(F.lit(1)).over(cluster))
+    cand = wk.select("date", "name", "_k", F.explode(F.sequence(F.date_add("date", 1), F.date_add("date", 10)))
+                     .alias("_c"))
+    taken = base.select(F.col("date").alias("_c")).distinct()
+    cand = cand.filter(F.weekday("_c") < 5).join(F.broadcast(taken), "_c", "left_anti")
+    pick = Window.partitionBy("date").orderBy("_c")
+    sub = (cand.withColumn("_r", F.row_number().over(pick)).filter(F.col("_r") == F.col("_k"))
+           .select(F.col("_c").alias("date"), F.concat(F.col("name"), F.lit(" (substitute day)")).alias("name")))
+    return base.unionByName(sub)
 
 
 def days_off(spark: SparkSession, start_date, end_date, holidays: DataFrame | None = None) -> DataFrame:
