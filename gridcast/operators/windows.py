@@ -171,10 +171,15 @@ def _running(df: DataFrame, series: Sequence[str], pos: str, cols: Sequence[str]
                             for c in df.columns])
     if kind == "sum":
         summ = d.groupBy(*series, "_bkt").agg(*[F.sum(c).alias(c) for c in cols])
-        carry = summ.select(*series, "_bkt", *[F.coalesce(F.sum(c).over(wb), F.lit(0)).alias(f"_carry_{c}")
-                                               for c in cols])
+        carry = summ.select(*series, "_bkt", *[F.sum(c).over(wb).alias(f"_carry_{c}") for c in cols])
         out = d.select("*", *[F.sum(c).over(w).alias(f"_loc_{c}") for c in cols]).join(carry, [*series, "_bkt"], "left")
-        return out.select(*df.columns, *[(F.col(f"_loc_{c}") + F.col(f"_carry_{c}")).alias(f"cum_{c}") for c in cols])
+
+        def total(c):  # SQL running-sum semantics: NULL until the first value
+            loc, car = F.col(f"_loc_{c}"), F.col(f"_carry_{c}")
+            return F.when(loc.isNull() & car.isNull(), None).otherwise(
+                F.coalesce(loc, F.lit(0)) + F.coalesce(car, F.lit(0)))
+
+        return out.select(*df.columns, *[total(c).alias(f"cum_{c}") for c in cols])
     raise ValueError(kind)
 
 

@@ -4,3 +4,4 @@ from . import q_core  # noqa: F401
 from . import q_sources  # noqa: F401
 from . import q_time  # noqa: F401
 from . import q_joins  # noqa: F401
+from . import q_aggs  # noqa: F401
