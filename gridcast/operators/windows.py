@@ -15,7 +15,8 @@ works on a *position* column instead and splits each series into buckets of
 Position modes:
 
 * ``"rows"`` — dense 0-based row number in ``order`` (pandas ``shift`` parity;
-  after a gap, lag 24 is 24 *rows* back). Built by :func:`position_index`.
+  after a gap, lag 24 is 24 *rows* back). Built by :func:`position_index`
+  (coarse time buckets + per-bucket offsets; no single-task window).
 * ``"time"`` — ``floor(epoch seconds / step)``; lag 24 is 24 *steps* back and is
   NULL when that instant is absent.
 """
@@ -28,35 +29,31 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKET_ROWS = 1 << 16
-_MID_BITS = 33  # monotonically_increasing_id = partition id << 33 | ordinal
-
-
-def _partitions(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def position_index(df: DataFrame, series: Sequence[str], order: Sequence[str], out: str = "pos",
-                   num_partitions: int | None = None) -> DataFrame:
+                   coarse_seconds: int = 3600) -> DataFrame:
     """Dense 0-based row number per series, computed without a per-series task.
 
-    Range-partition on ``(series…, order…)`` so a hot series is spread over many
-    tasks, take each row's ordinal inside its sorted partition, and add the number
-    of rows of the same series held by earlier partitions (a small
-    ``(series, partition)`` count table). ``order`` must be unique within a series
-    (add an ingest ordinal as the last key when it is not).
+    Rows are cut into coarse time buckets (``floor(order[0] / coarse_seconds)``),
+    numbered inside ``(series, bucket)`` and shifted by the number of rows of the
+    same series in earlier buckets (a small ``(series, bucket) → count`` table).
+    Every step is deterministic, so recomputing a lost partition gives the same
+    numbers. ``order`` must be unique within a series (add an ingest ordinal as the
+    last key when it is not); ``order[0]`` is a timestamp or a number.
     """
-    keys = [*series, *order]
-    n = num_partitions or _partitions(df)
-    ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .withColumn("_pid", F.shiftright("_mid", _MID_BITS))
-              .withColumn("_ord", F.col("_mid").bitwiseAND(F.lit((1 << _MID_BITS) - 1))))
-    counts = ranged.groupBy(*series, "_pid").agg(F.min("_ord").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
-    before = Window.partitionBy(*series).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*series, "_pid", "_first", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
-    return (ranged.join(offsets, [*series, "_pid"])
-            .withColumn(out, F.col("_off") + F.col("_ord") - F.col("_first"))
-            .drop("_mid", "_pid", "_ord", "_first", "_off"))
+    first = F.col(order[0])
+    key = F.unix_micros(first.cast("timestamp")) / 1_000_000 if dict(df.dtypes)[order[0]].startswith("timestamp") \
+        else first
+    d = df.withColumn("_cb", F.floor(key / F.lit(coarse_seconds)).cast("bigint"))
+    counts = d.groupBy(*series, "_cb").agg(F.count(F.lit(1)).alias("_cnt"))
+    before = Window.partitionBy(*series).orderBy("_cb").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(*series, "_cb", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+    # explicit exchange on (series, bucket) so a hot series is numbered by many tasks
+    local = Window.partitionBy(*series, "_cb").orderBy(*order)
+    numbered = (d.repartition(*[F.col(c) for c in series], F.col("_cb"))
+                .withColumn("_rn", F.row_number().over(local) - 1))
+    return (numbered.join(offsets, [*series, "_cb"])
+            .withColumn(out, (F.col("_off") + F.col("_rn")).cast("bigint"))
+            .drop("_cb", "_rn", "_off"))
 
 
 def time_position(ts: str | Column, step_seconds: int) -> Column:

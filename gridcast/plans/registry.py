@@ -2,8 +2,9 @@
 
 Each query: ``fn(spark, sf_dir) -> DataFrame`` plus, where the operator is
 SQL-expressible, an equivalent DuckDB SQL string over the driver's views.
-Floating outputs are rounded to 6 decimals on both sides (sums are
-order-dependent in the last bits).
+Floating outputs are rounded on both sides in two decimal stages (9, then 6
+digits, half away from zero): sums are order-dependent in the last bits, and an
+exact tie such as ``x.1271875`` must not flip with that noise.
 """
 
 from __future__ import annotations
@@ -28,13 +29,13 @@ def finish(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            c = F.round(c.cast("double"), digits)
+            c = F.round(F.round(c.cast("double"), digits + 3), digits)
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")
         elif isinstance(f.dataType, T.DateType):
             c = F.date_format(c, "yyyy-MM-dd")
         elif isinstance(f.dataType, T.DecimalType):
-            c = F.round(c.cast("double"), digits)
+            c = F.round(F.round(c.cast("double"), digits + 3), digits)
         cols.append(c.alias(f.name))
     return df.select(*cols)
 
@@ -42,7 +43,8 @@ def finish(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 def rounded_sql(inner: str, doubles: Sequence[str] = (), ints: Sequence[str] = (),
                 dates: Sequence[str] = ()) -> str:
     """Wrap oracle SQL: round doubles, cast ints to BIGINT and dates to ISO text."""
-    rep = [f"round(CAST({c} AS DOUBLE), {DIGITS}) + 0.0 AS {c}" for c in doubles]
+    rep = [f"CAST(TRY_CAST(TRY_CAST({c} AS DECIMAL(38, {DIGITS + 3})) AS DECIMAL(38, {DIGITS})) AS DOUBLE) + 0.0 AS {c}"
+           for c in doubles]
     rep += [f"CAST({c} AS BIGINT) AS {c}" for c in ints]
     rep += [f"strftime(CAST({c} AS DATE), '%Y-%m-%d') AS {c}" for c in dates]
     if not rep:
