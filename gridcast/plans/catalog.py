@@ -7,3 +7,4 @@ from . import q_joins  # noqa: F401
 from . import q_aggs  # noqa: F401
 from . import q_windows  # noqa: F401
 from . import q_scalar  # noqa: F401
+from . import q_model  # noqa: F401
