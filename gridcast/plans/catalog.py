@@ -9,3 +9,4 @@ from . import q_windows  # noqa: F401
 from . import q_scalar  # noqa: F401
 from . import q_model  # noqa: F401
 from . import q_masters  # noqa: F401
+from . import q_diag  # noqa: F401

@@ -25,6 +25,8 @@ def get_session(app: str = "gridcast", master: str | None = None,
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
+        if master.startswith("local"):  # local mode: the driver JVM is the only executor
+            b = b.config("spark.driver.memory", "8g")
     conf = dict(_DEFAULTS)
     conf["spark.ui.enabled"] = "false"
     conf["spark.ui.showConsoleProgress"] = "false"
