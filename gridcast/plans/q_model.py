@@ -243,3 +243,61 @@ def _feature_query(name):
 
 for _h in HORIZONS:
     _feature_query(_h)
+
+
+# --- I6 / I7 / I12: trees (MLlib), significant-feature matrix ------------------------------
+
+@query("i6_boosted_trees_walk_forward")
+def q_boosted(spark, sf_dir):
+    """Boosted trees (depth 3, lr .03, subsample .7, min 20 per node) refit per fold, pooled over
+    series; the registered check uses 20 boosting rounds instead of 500 to bound its run time."""
+    from .trees import walk_forward_trees
+    t = Tables(spark, sf_dir)
+    p, _ = walk_forward_trees(daily_features(t), _folds(spark, t), ts="ts", y="y", features=DAILY_FEATURES,
+                              kind="XGBoost", params={"maxIter": 20}, min_train=300, series=["series_id"])
+    return p
+
+
+def _whole_span(t):
+    """One window over all rows: used for the full-data inference fits of I12."""
+    d = order_daily(t).agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
+    one = F.make_dt_interval(F.lit(1))
+    return d.select(F.lit(1).alias("fold_id"), F.col("a").alias("train_start"), (F.col("b") + one).alias("cal_start"),
+                    F.col("b").alias("test_start"), (F.col("b") + one).alias("test_end"))
+
+
+@query("i7_supply_tree_models")
+def q_supply_trees(spark, sf_dir):
+    """Decision tree / random forest / gradient boosting on a chronological split; test MAE."""
+    from .trees import make_tree
+    from pyspark.ml.feature import VectorAssembler
+    t = Tables(spark, sf_dir)
+    f = daily_features(t).dropna()
+    asm = VectorAssembler(inputCols=DAILY_FEATURES, outputCol="_features")
+    d = asm.transform(f.withColumn("_label", F.col("y")))
+    tr, te = chronological_split(d, "ts", TEST0)
+    out = None
+    for kind, params in (("DecisionTree", {}), ("RandomForest", {"numTrees": 20}), ("GradientBoosting", {"maxIter": 10})):
+        from .trees import SUPPLY_TREES
+        m = make_tree(kind, **dict(SUPPLY_TREES[kind], **params)).fit(tr)
+        s = (m.transform(te).groupBy(F.lit(kind).alias("model"))
+             .agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(F.col("prediction") - F.col("_label"))).alias("mae")))
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
+@query("i12_significant_features")
+def q_sig(spark, sf_dir):
+    """Significant-feature matrix from full-data fits: OLS-HAC p, lasso/elastic-net
+    non-zero coefficients, boosted-tree importances."""
+    from .diagnostics import ols_hac
+    from .trees import significant_features, walk_forward_trees
+    t = Tables(spark, sf_dir)
+    f = daily_features(t).withColumn("_all", F.lit("all"))
+    ols = ols_hac(f, ["_all"], "ts", "y", DAILY_FEATURES, 7)
+    span = _whole_span(t)
+    _, coefs, _ = walk_forward_linear(f, span, series=["_all"], ts="ts", y="y", features=DAILY_FEATURES,
+                                      models=("lasso", "elasticnet"), min_train=300, with_train_mae=False)
+    _, imps = walk_forward_trees(f, span, ts="ts", y="y", features=DAILY_FEATURES, kind="XGBoost",
+                                 params={"maxIter": 20}, min_train=300)
+    return significant_features(ols, coefs.select("model", "fold_id", "beta"), imps, DAILY_FEATURES)
