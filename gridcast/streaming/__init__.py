@@ -1,0 +1,8 @@
+"""Streaming.
+
+The reference has no streaming, watermark, window-state or late-data code
+(SURVEY §2 J), so this package adds no streaming operators. The batch
+operators are written with built-in expressions only, so the stateless ones
+(parsing, local fields, degree days, row sums) apply unchanged to a
+``readStream`` DataFrame.
+"""
