@@ -82,14 +82,16 @@ def q_lookup(spark, sf_dir):
 
 
 @query("c6_neighbour_days", f"""
-WITH {_ORDER_DATES_SQL}, {SQL_HOLIDAYS}
-SELECT dates.d AS date,
-  CASE WHEN EXISTS (SELECT 1 FROM hol WHERE h = dates.d + 1) THEN 1 ELSE 0 END AS pre_holiday,
-  CASE WHEN EXISTS (SELECT 1 FROM hol WHERE h = dates.d - 1) THEN 1 ELSE 0 END AS post_holiday,
-  CASE WHEN NOT EXISTS (SELECT 1 FROM off WHERE off.d = dates.d)
-        AND EXISTS (SELECT 1 FROM off WHERE off.d = dates.d - 1)
-        AND EXISTS (SELECT 1 FROM off WHERE off.d = dates.d + 1) THEN 1 ELSE 0 END AS bridge_day
-FROM dates""", ints=["pre_holiday", "post_holiday", "bridge_day"], dates=["date"])
+WITH od AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders),
+dates AS (SELECT CAST(unnest(generate_series(min(d) - 1, max(d) + 1, INTERVAL 1 DAY)) AS DATE) AS d FROM od),
+{SQL_HOLIDAYS.strip()}
+SELECT od.d AS date,
+  CASE WHEN EXISTS (SELECT 1 FROM hol WHERE h = od.d + 1) THEN 1 ELSE 0 END AS pre_holiday,
+  CASE WHEN EXISTS (SELECT 1 FROM hol WHERE h = od.d - 1) THEN 1 ELSE 0 END AS post_holiday,
+  CASE WHEN NOT EXISTS (SELECT 1 FROM off WHERE off.d = od.d)
+        AND EXISTS (SELECT 1 FROM off WHERE off.d = od.d - 1)
+        AND EXISTS (SELECT 1 FROM off WHERE off.d = od.d + 1) THEN 1 ELSE 0 END AS bridge_day
+FROM od""", ints=["pre_holiday", "post_holiday", "bridge_day"], dates=["date"])
 def q_neighbour(spark, sf_dir):
     """Pre-holiday, post-holiday and bridge-day flags from neighbouring calendar days."""
     t = Tables(spark, sf_dir)
