@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -41,11 +43,29 @@ def get_session(app: str = "gridcast", master: str | None = None,
 
 
 def ensure_utc(spark: SparkSession) -> SparkSession:
-    """All instants are compared in UTC; wall time is always derived explicitly."""
+    """All instants are compared in UTC; wall time is always derived explicitly.
+
+    Also sends the package to the executors, so that Python workers can import it.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    ship_package(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's modules to the executors once per Spark context (``addPyFile``)."""
+    sc = spark.sparkContext
+    if getattr(sc, "_gridcast_shipped", False):
+        return
+    here = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="gridcast-ship-")) / "gridcast.zip"
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted(here.rglob("*.py")):
+            z.write(f, f"{here.name}/{f.relative_to(here)}")
+    sc.addPyFile(str(target))
+    sc._gridcast_shipped = True
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder.
 
