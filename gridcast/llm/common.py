@@ -79,3 +79,17 @@ def bounded_sample(rows: DataFrame, stratum: str, per_stratum: int, doc_id: str
     drawn = F.pmod(F.xxhash64(F.lit(17), F.col(doc_id)), F.lit(scale))
     return (rows.join(counts, F.col(stratum) == F.col("__s")).where(drawn < F.col("__upto"))
             .drop("__s", "__upto"))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, per_label: int) -> DataFrame:
+    """``(text, label)`` of at most about ``per_label`` documents of each label.
+
+    Only labels are sampled and broadcast (two columns, two labels, ``per_label`` rows
+    each), so the documents are read once and not shuffled. An id with several labels
+    has the highest, one with several texts the smallest.
+    """
+    one = labels.where("label is not null and doc_id is not null").groupBy("doc_id").agg(
+        F.max("label").cast("int").alias("label"))
+    wanted = bounded_sample(one, "label", per_label)
+    return (docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(wanted), "doc_id")
+            .groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("text", "label"))

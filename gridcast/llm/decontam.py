@@ -25,6 +25,7 @@ from .hashing import mix, plain, token_hashes
 #: Together they hit every alignment of 13 tokens with 2 substitutions, 15 with 3 and 20 with 4.
 MASKS = ("111101", "110111", "111011", "1110101", "101011001", "1001001011")
 _MOST_BITS = 28  # 32 MB
+_PART = 256
 _ODD = mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
 
 
@@ -86,8 +87,18 @@ def _bit_table(hashes: DataFrame, n: int) -> tuple[int, np.ndarray]:
     return bits, table
 
 
+def _parts(at: np.ndarray, gap: int) -> Iterator[np.ndarray]:
+    """Indices of sorted hit positions, cut at gaps and after _PART positions."""
+    for run in np.split(np.arange(len(at)), np.flatnonzero(np.diff(at) > gap) + 1):
+        yield from np.split(run, np.flatnonzero(np.diff((at[run] - at[run[0]]) // _PART)) + 1)
+
+
 def _stretches(docs: DataFrame, bits: int, table: np.ndarray, around: int) -> DataFrame:
-    """One row for each stretch of a document with windows that the bit table lets through."""
+    """One row for each stretch of a document with windows that the bit table lets through.
+
+    ``h`` has each hash once and ``at`` its places. A stretch spans at most _PART hit
+    positions, so a text that repeats itself gives many short rows and not a long one.
+    """
     id_type = docs.schema["doc_id"].dataType.simpleString()
     shared = docs.sparkSession.sparkContext.broadcast(table)
     longest = max(map(len, MASKS))
@@ -118,24 +129,26 @@ def _stretches(docs: DataFrame, bits: int, table: np.ndarray, around: int) -> Da
             place, base, tokens, spots, hashes = [], [], [], [], []
             for i, at, got in passed(texts):
                 words = plain(texts[i]).split()
-                for part in np.split(np.arange(len(at)), np.flatnonzero(np.diff(at) > 2 * around + longest) + 1):
+                for part in _parts(at, 2 * around + longest):
                     start = max(0, int(at[part[0]]) - around)
+                    kinds, of = np.unique(got[part], return_inverse=True)
+                    order = np.argsort(of, kind="stable")
                     place.append(i)
                     base.append(start)
                     tokens.append(words[start:int(at[part[-1]]) + longest + around])
-                    spots.append(at[part].astype(np.int32))
-                    hashes.append(got[part].view(np.int64))
+                    spots.append(np.split(at[part][order].astype(np.int32), np.cumsum(np.bincount(of))[:-1]))
+                    hashes.append(kinds.view(np.int64))
             if place:
                 idx = pa.array(place)
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).take(idx), b.column(1).take(idx), b.column(2).take(idx), pa.array(base, pa.int32()),
-                     pa.array(tokens, pa.list_(pa.binary())), pa.array(spots, pa.list_(pa.int32())),
+                     pa.array(tokens, pa.list_(pa.binary())), pa.array(spots, pa.list_(pa.list_(pa.int32()))),
                      pa.array(hashes, pa.list_(pa.int64()))],
                     ["row", "doc_id", "text_key", "base", "tokens", "at", "h"])
 
     return (docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", text_key().alias("text_key"), "text")
             .mapInArrow(run, f"row long, doc_id {id_type}, text_key long, base int, tokens array<binary>, "
-                             "at array<int>, h array<long>"))
+                             "at array<array<int>>, h array<long>"))
 
 
 def longest_stretch(equal: np.ndarray, identity: float) -> tuple[int, int]:
@@ -156,22 +169,30 @@ def longest_stretch(equal: np.ndarray, identity: float) -> tuple[int, int]:
 
 
 def _verify(identity: float, min_tokens: int):
+    """Of each (stretch, item): the longest overlap on any diagonal that a seed hit."""
+
+    def best(base: int, tokens: list[bytes], item: list[bytes], seeds: list[dict]) -> tuple[int, int, int]:
+        number = {w: i for i, w in enumerate(set(item))}
+        x = np.array([number.get(w, -1) for w in tokens])
+        y = np.array([number[w] for w in item])
+        found = (0, 0, 0)
+        for shift in np.unique(np.concatenate([np.subtract.outer(s["doc_at"], s["item_at"]).ravel() for s in seeds])):
+            lo, hi = max(base, shift), min(base + len(x), shift + len(y))
+            if hi <= lo:
+                continue
+            equal = x[lo - base:hi - base] == y[lo - shift:hi - shift]
+            start, length = longest_stretch(equal, identity)
+            found = max(found, (length, int(equal[start:start + length].sum()), -int(lo + start)))
+        return found
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
-            for base, tokens, item, shift in zip(*(b.column(i).to_pylist() for i in (2, 3, 4, 5)), strict=True):
-                lo, hi = max(base, shift), min(base + len(tokens), shift + len(item))
-                equal = np.array([x == y for x, y in zip(tokens[lo - base:hi - base], item[lo - shift:hi - shift],
-                                                         strict=True)], dtype=bool)
-                start, length = longest_stretch(equal, identity) if len(equal) else (0, 0)
-                enough = length >= min(min_tokens, len(item))
-                rows.append((lo + start, length, int(equal[start:start + length].sum()), len(item), enough))
-            start, length, same, size, enough = zip(*rows, strict=True) if rows else [()] * 5
+            found = [(*best(*r), len(r[2])) for r in zip(*(b.column(i).to_pylist() for i in (2, 3, 4, 5)), strict=True)]
+            length, same, start, size = np.array(found, dtype=np.int32).reshape(-1, 4).T
             out = pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(start, pa.int32()), pa.array(length, pa.int32()),
-                 pa.array(same, pa.int32()), pa.array(size, pa.int32())],
-                ["row", "item", "start", "length", "same", "item_tokens"])
-            yield out.filter(pa.array(enough, pa.bool_()))
+                [b.column(0), b.column(1), *(pa.array(np.ascontiguousarray(c)) for c in (length, same, start, size))],
+                ["row", "item", "length", "same", "start", "item_tokens"])
+            yield out.filter(pa.array(length >= np.minimum(min_tokens, size)))
 
     return run
 
@@ -183,7 +204,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, identity: float = 0.8, m
 
     An overlap is an ungapped stretch of at least ``min_tokens`` tokens (or the whole of
     a shorter item) of which a share of ``identity`` or more are equal; the longest one
-    within ``around`` tokens of the hits is given. Tokens are lower-cased and without
+    is given, as far as it lies within ``around`` tokens of a stretch of hits. Tokens are lower-cased and without
     ASCII punctuation. Items of fewer than ``shortest_item`` tokens are no evidence and
     are left out. Null and empty texts on either side match nothing; a null doc_id is
     carried; repeated rows are each reported. Empty tables give no rows.
@@ -205,15 +226,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, identity: float = 0.8, m
     found = saved(_stretches(docs, bits, table, around))
     hits = found.select("row", "base", F.explode(F.arrays_zip("at", "h")).alias("w")).select(
         "row", "base", F.col("w.at").alias("doc_at"), F.col("w.h").alias("h"))
-    lines = hits.join(test, "h").select("row", "base", "item", (F.col("doc_at") - F.col("at")).alias("shift")).distinct()
-    pairs = (lines.join(found.select("row", "base", "tokens"), ["row", "base"])
-             .join(items.select("item", "words"), "item")
-             .select("row", "item", "base", "tokens", "words", "shift"))
+    places = test.groupBy("item", "h").agg(F.collect_list("at").alias("item_at"))
+    seeds = (hits.join(places, "h").groupBy("row", "base", "item")
+             .agg(F.collect_list(F.struct("doc_at", "item_at")).alias("seeds")))
+    pairs = (seeds.join(found.select("row", "base", "tokens"), ["row", "base"])
+             .join(items.select("item", "words"), "item").select("row", "item", "base", "tokens", "words", "seeds"))
     checked = pairs.mapInArrow(_verify(identity, min_tokens),
-                               "row long, item long, start int, length int, same int, item_tokens int")
+                               "row long, item long, length int, same int, start int, item_tokens int")
     best = checked.groupBy("row", "item").agg(
-        F.max(F.struct("same", "length", -F.col("start"), "item_tokens")).alias("b"))
+        F.max(F.struct("length", "same", "start", "item_tokens")).alias("b"))
     names = found.select("row", "doc_id", "text_key").distinct()
     return (best.join(names, "row").join(items.select("item", "item_id"), "item").select(
-        "doc_id", "text_key", "item_id", (-F.col("b.col3")).alias("start"), F.col("b.length").alias("overlap"),
+        "doc_id", "text_key", "item_id", (-F.col("b.start")).alias("start"), F.col("b.length").alias("overlap"),
         F.col("b.same").alias("matches"), F.col("b.item_tokens").alias("item_tokens")))

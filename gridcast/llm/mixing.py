@@ -64,13 +64,13 @@ def fair_mix(docs: DataFrame, cycle: int = 3, max_repeats: int = 3, seed: str =
     sums = rows.groupBy("source", "__cell").agg(F.sum("size").alias("cell_size"))
     sized = targets(sums.groupBy("source").agg(F.sum("cell_size").alias("source_size")), cycle, max_repeats)
     earlier = Window.partitionBy("source").orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
-    offset = sums.withColumn("offset", F.coalesce(F.sum("cell_size").over(earlier), F.lit(0).cast("long")))
+    offset = sums.withColumn("__offset", F.coalesce(F.sum("cell_size").over(earlier), F.lit(0).cast("long")))
     of_cell = (offset.join(sized.withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s")))
-               .select(F.col("source").alias("__source"), F.col("__cell").alias("__c"), "offset", "source_size", "target"))
+               .select(F.col("source").alias("__source"), F.col("__cell").alias("__c"), "__offset", "source_size", "target"))
     inside = (Window.partitionBy("source", "__cell").orderBy("__key", "doc_id", "size")
               .rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.join(of_cell, F.col("source").eqNullSafe(F.col("__source")) & (F.col("__cell") == F.col("__c")))
-    rows = rows.withColumn("before", F.col("offset") + F.coalesce(F.sum("size").over(inside), F.lit(0).cast("long")))
+    rows = rows.withColumn("before", F.col("__offset") + F.coalesce(F.sum("size").over(inside), F.lit(0).cast("long")))
     line = F.floor(F.col("target") + 0.5)
     taken = sum((F.greatest(F.lit(0), F.least(F.col("size"), line - F.col("before") - F.col("source_size") * e))
                  for e in range(max_repeats)), F.lit(0)).cast("long")

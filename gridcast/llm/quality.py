@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample
+from .common import labelled_sample
 from .hashing import token_hashes
 
 _CLASSES = 16
@@ -123,11 +123,9 @@ def learn_neighbours(docs: DataFrame, labels: DataFrame, rows_per_label: int = 1
     """Fit on the rows of ``docs`` that ``labels(doc_id, label)`` names, at most about ``rows_per_label`` of each label.
 
     The sample's feature counts are made in the tasks; the bounded matrix of at most
-    2 * rows_per_label rows is weighted and decomposed once. A vote is corrected for
-    the shares at which the labels were drawn only through its neighbours' cosines.
-    Without labelled rows every score is 0.5.
+    2 * rows_per_label rows is weighted and decomposed once. Without labelled rows every
+    score is 0.5.
     """
-    wanted = bounded_sample(labels.where("label is not null").dropDuplicates(["doc_id"]), "label", rows_per_label)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -140,9 +138,8 @@ def learn_neighbours(docs: DataFrame, labels: DataFrame, rows_per_label: int = 1
                     [label.slice(at, len(x)), pa.ListArray.from_arrays(pa.array(cut), pa.array(col.astype(np.int32))),
                      pa.ListArray.from_arrays(pa.array(cut), pa.array(x[row, col]))], ["label", "place", "n"])
 
-    rows = (docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id")
-            .select("text", F.col("label").cast("int").alias("label"), "doc_id")
-            .select("text", "label").mapInArrow(run, "label int, place array<int>, n array<float>")).toPandas()
+    rows = (labelled_sample(docs, labels, rows_per_label)
+            .mapInArrow(run, "label int, place array<int>, n array<float>")).toPandas()
     if not len(rows):
         return Neighbours(words, np.zeros(width(words)), np.zeros((width(words), 1)), np.zeros((0, 1)), np.zeros(0), k, 0.5)
     rows = rows.iloc[sorted(range(len(rows)), key=lambda i: (rows["label"][i], rows["place"][i].tobytes(),

@@ -14,11 +14,11 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.ml.classification import FMClassifier
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.feature import CountVectorizerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bounded_sample, saved
+from .common import labelled_sample, saved
 from .hashing import token_hashes
 
 PREFIXES = (3, 4, 5)
@@ -100,13 +100,9 @@ def learn_machine(docs: DataFrame, labels: DataFrame, rows_per_label: int = 8000
     The sample is drawn by a hash of the id. The ``terms`` hashed terms that tell the
     labels apart best (log likelihood ratio over the sample) are kept, and MLlib fits
     the machine on the sample's sparse vectors. With one label or none, every text gets
-    the same score: 1, 0, or 0.5 where there is no label at all. The bias is set so
-    that the sample's shares of the labels don't matter to the threshold beyond what
-    the terms say: labels are few, so both kinds are drawn up to the same bound.
+    the same score: 1, 0, or 0.5 where there is no label at all.
     """
-    wanted = bounded_sample(labels.where("label is not null").dropDuplicates(["doc_id"]), "label", rows_per_label)
-    rows = saved(docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id")
-                 .select("text", F.col("label").cast("int").alias("label")))
+    rows = saved(labelled_sample(docs, labels, rows_per_label))
     n = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     none = np.full(1 << bits, -1, dtype=np.int32)
     if len(n) < 2:
@@ -132,14 +128,17 @@ def learn_machine(docs: DataFrame, labels: DataFrame, rows_per_label: int = 8000
     place[chosen] = np.arange(len(chosen))
     size = len(chosen)
 
-    @F.pandas_udf("array<double>")
-    def dense(texts: pd.Series) -> pd.Series:
-        x = np.zeros((len(texts), size))
-        for doc, term in active_terms(texts.tolist(), bits, place):
-            x[doc, term] = 1.0
-        return pd.Series(list(x))
-
-    sparse = saved(rows.select(array_to_vector(dense("text")).alias("features"), F.col("label").cast("double")))
+    def terms_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [[] for _ in range(b.num_rows)]
+            for doc, term in active_terms(b.column(0).to_pylist(), bits, place):
+                for d, t in zip(doc.tolist(), term.tolist(), strict=True):
+                    found[d].append(str(t))
+            yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.string())), b.column(1)], ["terms", "label"])
+
+    vectors = CountVectorizerModel.from_vocabulary([str(i) for i in range(size)], "terms", "features")
+    sparse = saved(vectors.transform(rows.select("text", F.col("label").cast("double"))
+                                     .mapInArrow(terms_of, "terms array<string>, label double")))
     model = FMClassifier(featuresCol="features", labelCol="label", factorSize=factors, maxIter=rounds, stepSize=step,
                          regParam=penalty, initStd=0.05, seed=7).fit(sparse)
     return Machine(bits, place, float(model.intercept), np.asarray(model.linear.toArray()), np.asarray(model.factors.toArray()))
