@@ -12,6 +12,7 @@ from ..session import checkpoint_dir
 #: The white space of the contracts (the ASCII blanks), and what lies between it.
 BLANKS = "[\\x20\\x09-\\x0D]"
 WORD = "[^\\x20\\x09-\\x0D]+"
+MOST_STRATA = 10_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -69,13 +70,16 @@ def fold(modulus: int, doc_id: str = "doc_id") -> Column:
 def bounded_sample(rows: DataFrame, stratum: str, per_stratum: int, doc_id: str = "doc_id") -> DataFrame:
     """About ``per_stratum`` rows of each stratum, chosen by a hash of the id.
 
-    A count per stratum sets a hash threshold, so there is no sort and no pull to
-    the driver; a stratum with fewer rows is taken whole. The strata (labels,
-    languages) are few, so the counts are a small table that Spark may broadcast.
+    A count per stratum sets a hash threshold, so there is no sort and no pull of rows
+    to the driver; a stratum with fewer rows is taken whole. Up to MOST_STRATA counts
+    are broadcast, so that ``rows`` are not shuffled; with more, Spark joins as it likes.
     """
     scale = 1 << 30
     counts = (rows.groupBy(F.col(stratum).alias("__s")).count()
               .select("__s", (F.lit(float(per_stratum)) * scale / F.col("count")).alias("__upto")))
+    known = counts.limit(MOST_STRATA + 1).collect()
+    if len(known) <= MOST_STRATA:
+        counts = F.broadcast(rows.sparkSession.createDataFrame(known, counts.schema))
     drawn = F.pmod(F.xxhash64(F.lit(17), F.col(doc_id)), F.lit(scale))
     return (rows.join(counts, F.col(stratum) == F.col("__s")).where(drawn < F.col("__upto"))
             .drop("__s", "__upto"))
