@@ -52,16 +52,16 @@ def forecast_metrics(df: DataFrame, group: Sequence[str], y: str = "y", yhat: st
     """N, MAE, RMSE, MAPE % (÷ y), R², adjusted R² with k predictors, bias (mean of ŷ−y).
 
     ``k`` may be a column (per-model predictor count). One aggregation pass:
-    SST = n · var_pop(y).
+    SST = n · var_pop(y). Rows with y = 0 don't enter the MAPE; R² of a constant y is NULL.
     """
     e = F.col(yhat) - F.col(y)
     kk = F.col(k) if isinstance(k, str) else (k if isinstance(k, Column) else F.lit(k))
     agg = df.groupBy(*group, kk.alias("_k")).agg(
         F.count(F.lit(1)).alias("n"), F.avg(F.abs(e)).alias("mae"), F.sqrt(F.avg(e * e)).alias("rmse"),
-        (F.avg(F.abs(e) / F.col(y)) * 100).alias("mape"), F.sum(e * e).alias("_sse"),
+        (F.avg(F.try_divide(F.abs(e), F.col(y))) * 100).alias("mape"), F.sum(e * e).alias("_sse"),
         (F.var_pop(y) * F.count(F.lit(1))).alias("_sst"), F.avg(e).alias("bias"))
-    r2 = 1 - F.col("_sse") / F.col("_sst")
-    adj = 1 - (1 - r2) * (F.col("n") - 1) / (F.col("n") - F.col("_k") - 1)
+    r2 = 1 - F.try_divide(F.col("_sse"), F.col("_sst"))
+    adj = 1 - F.try_divide((1 - r2) * (F.col("n") - 1), F.col("n") - F.col("_k") - 1)
     return agg.select(*group, "n", "mae", "rmse", "mape", r2.alias("r2"), adj.alias("adj_r2"), "bias")
 
 
@@ -69,7 +69,7 @@ def standardized_metrics(df: DataFrame, group: Sequence[str], y: str = "y", yhat
     """MSE, RMSE, MAE and MAPE as a fraction (÷ |y|) — standardised-unit scores."""
     e = F.col(yhat) - F.col(y)
     return df.groupBy(*group).agg(F.avg(e * e).alias("mse"), F.sqrt(F.avg(e * e)).alias("rmse"),
-                                  F.avg(F.abs(e)).alias("mae"), F.avg(F.abs(e) / F.abs(F.col(y))).alias("mape"))
+                                  F.avg(F.abs(e)).alias("mae"), F.avg(F.try_divide(F.abs(e), F.abs(F.col(y)))).alias("mape"))
 
 
 def skill_vs_benchmark(metrics: DataFrame, group: Sequence[str], model: str, benchmark: str,
@@ -97,7 +97,7 @@ def peak_metrics(df: DataFrame, group: Sequence[str], ts: str, y: str, yhat: str
     p = daily_peak(df, group, ts, y, tz)
     e = F.abs(F.col(yhat) - F.col(y))
     return p.groupBy(*group).agg(F.count(F.lit(1)).alias("days"), F.avg(e).alias("peak_mae"),
-                                 (F.avg(e / F.col(y)) * 100).alias("peak_mape"))
+                                 (F.avg(F.try_divide(e, F.col(y))) * 100).alias("peak_mape"))
 
 
 def correlations(df: DataFrame, target: str, features: Sequence[str]) -> DataFrame:

@@ -27,13 +27,6 @@ def bounded_broadcast(df: DataFrame) -> DataFrame:
     return F.broadcast(df)
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast only after checking the row count (a bounded ``limit`` count job);
-    otherwise return the side as is and let AQE choose a shuffle join."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def inner_align(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Index intersection = inner equi join."""
     return a.join(b, list(keys), "inner")
@@ -108,6 +101,11 @@ def interval_coverage(intervals: DataFrame, grid_start: str | None = None, grid_
     f_end = F.floor(en / F.lit(step_seconds)).cast("bigint")
     c_end = F.ceil(en / F.lit(step_seconds)).cast("bigint")
     last = f_end if closed else c_end - 1
+    bounded = grid_start is not None and grid_end is not None
+    if bounded:  # what began before the grid counts from its first instant on
+        low = F.ceil(F.unix_seconds(F.to_timestamp(F.lit(grid_start))) / step_seconds).cast("bigint")
+        high = F.floor(F.unix_seconds(F.to_timestamp(F.lit(grid_end))) / step_seconds).cast("bigint")
+        first = F.greatest(first, low)
     v = F.col(value).cast(EXACT) if value else F.lit(0).cast(EXACT)
     known = F.col(category).isNotNull()
     if categories is not None:
@@ -129,10 +127,8 @@ def interval_coverage(intervals: DataFrame, grid_start: str | None = None, grid_
     # The delta table (categories × grid points) feeds the bounds, the grid join and
     # the carry; a reliable checkpoint keeps the interval scan to one pass.
     deltas = cut_lineage(deltas)
-    if grid_start is not None and grid_end is not None:
-        rng = spark.range(1).select(
-            F.ceil(F.unix_seconds(F.to_timestamp(F.lit(grid_start))) / step_seconds).cast("bigint").alias("_lo"),
-            F.floor(F.unix_seconds(F.to_timestamp(F.lit(grid_end))) / step_seconds).cast("bigint").alias("_hi"))
+    if bounded:
+        rng = spark.range(1).select(low.alias("_lo"), high.alias("_hi"))
     else:
         rng = deltas.filter(F.col("category").isNull()).agg(F.min("pos").alias("_lo"), F.max("pos").alias("_hi"))
     cats = (spark.createDataFrame([(c,) for c in categories], "category string") if categories is not None

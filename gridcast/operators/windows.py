@@ -29,6 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKET_ROWS = 1 << 16
+_SPAN = 4096
 def position_index(df: DataFrame, series: Sequence[str], order: Sequence[str], out: str = "pos",
                    coarse_seconds: int = 3600) -> DataFrame:
     """Dense 0-based row number per series, computed without a per-series task.
@@ -45,8 +46,16 @@ def position_index(df: DataFrame, series: Sequence[str], order: Sequence[str], o
         else first
     d = df.withColumn("_cb", F.floor(key / F.lit(coarse_seconds)).cast("bigint"))
     counts = d.groupBy(*series, "_cb").agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.partitionBy(*series).orderBy("_cb").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*series, "_cb", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
+    # offsets in two levels, so that no window holds a whole series of buckets: spans of
+    # _SPAN buckets first, then the buckets of one span
+    counts = counts.withColumn("_sp", F.floor(F.col("_cb") / F.lit(_SPAN)))
+    earlier_spans = Window.partitionBy(*series).orderBy("_sp").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*series, "_sp").orderBy("_cb").rowsBetween(Window.unboundedPreceding, -1)
+    spans = counts.groupBy(*series, "_sp").agg(F.sum("_cnt").alias("_scnt"))
+    spans = spans.select(*series, "_sp", F.coalesce(F.sum("_scnt").over(earlier_spans), F.lit(0)).alias("_soff"))
+    offsets = (counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(earlier), F.lit(0)))
+               .join(spans, [*series, "_sp"])
+               .select(*series, "_cb", (F.col("_off") + F.col("_soff")).alias("_off")))
     # explicit exchange on (series, bucket) so a hot series is numbered by many tasks
     local = Window.partitionBy(*series, "_cb").orderBy(*order)
     numbered = (d.repartition(*[F.col(c) for c in series], F.col("_cb"))

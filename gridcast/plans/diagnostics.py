@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.windows import Lookback, lookback_features, position_index
+from ..session import cut_lineage
 from .linear import gram_table
 
 # --- fixed values (see module docstring) ------------------------------------------------
@@ -112,7 +113,7 @@ def autocovariances(df: DataFrame, group: Sequence[str], ts: str, x: str, max_la
 
 def acf_column(lag: int) -> Column:
     """ACF at ``lag`` from an :func:`autocovariances` row."""
-    return F.col("ac")[lag - 1] / F.col("s0")
+    return F.try_divide(F.col("ac")[lag - 1], F.col("s0"))
 
 
 def newey_west_var(max_lag: int) -> Column:
@@ -212,8 +213,7 @@ def arch_lm(df: DataFrame, group: Sequence[str], ts: str, e: str, q: int = 48) -
     return res.drop("_all") if not group else res
 
 
-def adf_test(df: DataFrame, group: Sequence[str], ts: str, x: str, max_lag: int | None = None,
-             n_hint: int | None = None) -> DataFrame:
+def adf_test(df: DataFrame, group: Sequence[str], ts: str, x: str, max_lag: int | None = None) -> DataFrame:
     """Augmented Dickey–Fuller with a constant; lag order by AIC over the
     common sample, t-statistic on the chosen order's own sample, MacKinnon p.
 
@@ -221,10 +221,15 @@ def adf_test(df: DataFrame, group: Sequence[str], ts: str, x: str, max_lag: int
     differences exist for them) and unavailable lags are zero; a Gram keyed by
     (group, key) gives the common-sample Gram (key = max_lag + 1) and the Gram of
     any order p (keys ≥ p + 1, leading 2 + p block). ``max_lag`` defaults to
-    ``ceil(12 (n/100)^{1/4})`` with ``n_hint`` rows.
+    ``ceil(12 (n/100)^{1/4})``, at most ``n/2 - 2``, with each group's own n.
     """
-    if max_lag is None:
-        max_lag = int(math.ceil(12 * ((n_hint or 100) / 100.0) ** 0.25))
+    own_lag = max_lag is None
+
+    def default_lag(n: int) -> int:
+        return max(0, min(int(math.ceil(12 * (n / 100.0) ** 0.25)), n // 2 - 2))
+
+    if own_lag:
+        max_lag = default_lag(_largest_group(df, group, x))
     d, g = _lagged(df, group, ts, x, max_lag)
     spec = Lookback()
     for lag in range(1, max_lag + 2):
@@ -247,13 +252,14 @@ def adf_test(df: DataFrame, group: Sequence[str], ts: str, x: str, max_lag: int
                           "sxx": np.stack(rows["sxx"].to_numpy()).sum(0)})
 
     def fin(p: pd.DataFrame) -> pd.DataFrame:
-        common = p[p["_k"] == max_lag + 1]
+        most = default_lag(int(p["n"].sum()) + 1) if own_lag else max_lag
+        common = p[p["_k"] >= most + 1]
         if len(common) == 0:
             return pd.DataFrame(columns=schema.names)
         r = summed(common)
         xx, xy, n = _design(r, kf)
         best = None
-        for lag in range(0, max_lag + 1):
+        for lag in range(0, most + 1):
             k = 2 + lag
             b = np.linalg.lstsq(xx[:k, :k], xy[:k], rcond=None)[0]
             ssr = r["syy"] - 2 * b @ xy[:k] + b @ xx[:k, :k] @ b
@@ -294,19 +300,30 @@ def _design(r, kf):
     return xx, xy, n
 
 
-def kpss_test(df: DataFrame, group: Sequence[str], ts: str, x: str, n_hint: int) -> DataFrame:
+def _largest_group(df: DataFrame, group: Sequence[str], x: str) -> int:
+    """Rows of the largest group with ``x``: one number, which bounds how many lags are planned."""
+    return df.filter(F.col(x).isNotNull()).groupBy(*group).count().agg(F.max("count")).first()[0] or 0
+
+
+def kpss_test(df: DataFrame, group: Sequence[str], ts: str, x: str) -> DataFrame:
     """KPSS (constant) with the automatic bandwidth of Hobijn et al.; p from the
     critical-value table, clipped to [0.01, 0.10].
 
     η = Σ S_t² / (n² σ²), S_t the partial sums of the demeaned series (bucketed
-    prefix sums), σ² the Bartlett long-run variance at the automatic lag."""
+    prefix sums), σ² the Bartlett long-run variance at the automatic lag. The lag of each
+    group is computed first, from its own n; the second pass has as many lags as the
+    longest needs. A constant series has no statistic (NaN)."""
     from ..operators.windows import prefix_sums
     g = list(group) or ["_all"]
     d = df if group else df.withColumn("_all", F.lit(1))
-    covlags = int(n_hint ** (2.0 / 9.0))
-    cap = max(covlags, int(1.1447 * ((4.0) ** (1 / 3)) * n_hint ** (1 / 3)) + 2, 1)
-    cap = min(cap * 4, max(n_hint - 1, 1))
-    ac = autocovariances(d, g, ts, x, cap)
+    first = autocovariances(d, g, ts, x, max(1, int(_largest_group(d, g, x) ** (2.0 / 9.0))))
+    head = F.slice("ac", 1, F.floor(F.pow("n", F.lit(2.0 / 9.0))).cast("int"))
+    total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, b: a + b)
+    s0 = F.col("s0") + 2 * total(head)
+    s1 = 2 * total(F.transform(head, lambda v, i: (i + 1) * v))
+    lag = F.floor(1.1447 * F.pow(F.pow(F.try_divide(s1, s0), 2) * F.col("n"), F.lit(1.0 / 3.0)))
+    lags = cut_lineage(first.select(*g, F.least(F.coalesce(lag, F.lit(0)), F.col("n") - 1).cast("int").alias("lags")))
+    ac = autocovariances(d, g, ts, x, max(1, lags.agg(F.max("lags")).first()[0] or 0)).join(lags, g)
     base = d.select(*g, ts, F.col(x).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
     c = base.join(ac.select(*g, "mean"), g).withColumn("_c", F.col("_x") - F.col("mean"))
     c = position_index(c, g, [ts])
@@ -322,19 +339,9 @@ def kpss_test(df: DataFrame, group: Sequence[str], ts: str, x: str, n_hint: int)
         n = float(r["n"])
         acv = np.asarray(r["ac"], float)
         s0 = float(r["s0"])
-        cl = int(n ** (2.0 / 9.0))
-        a0, a1 = s0 / n, 0.0
-        for i in range(1, cl + 1):
-            prod = acv[i - 1] / (n / 2.0)
-            a0 += prod
-            a1 += i * prod
-        shat = a1 / a0 if a0 else 0.0
-        lags = min(int(1.1447 * (shat * shat) ** (1 / 3) * n ** (1 / 3)), int(n) - 1, len(acv))
-        s2 = s0
-        for lag in range(1, lags + 1):
-            s2 += 2 * (1 - lag / (lags + 1.0)) * acv[lag - 1]
-        s2 /= n
-        eta = float(r["ss"]) / (n * n * s2)
+        lags = int(r["lags"])
+        s2 = (s0 + 2 * (1 - np.arange(1, lags + 1) / (lags + 1.0)) @ acv[:lags]) / n
+        eta = float(r["ss"]) / (n * n * s2) if s2 > 0 else float("nan")
         out = {cn: r[cn] for cn in g}
         out.update(kpss_stat=eta, kpss_lags=int(lags), kpss_p=float(np.clip(kpss_p(eta), 0.01, 0.10)))
         return pd.DataFrame([out])

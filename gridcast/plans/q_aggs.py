@@ -193,12 +193,11 @@ def q_interval_quality(spark, sf_dir):
     return interval_quality(i, ["series_id"], "y", "lo", "hi", 0.10)
 
 
-_PLANTS = ["A", "N", "F"]
 _COVER_SQL = f"""
   i AS ({SQL_INTERVALS}),
   b AS (SELECT min(start) AS s, max("end") AS e FROM i),
   g AS (SELECT unnest(generate_series(s, e, INTERVAL 1 DAY)) AS ts FROM b),
-  t AS (SELECT unnest({_PLANTS!r}) AS category),
+  t AS (SELECT DISTINCT plant_type AS category FROM i WHERE plant_type IS NOT NULL),
   cov AS (SELECT t.category, g.ts, count(i.start) AS active, coalesce(sum(i.mw), 0) AS total
           FROM g CROSS JOIN t LEFT JOIN i ON i.plant_type = t.category AND i.start <= g.ts AND g.ts < i."end"
           GROUP BY 1, 2)"""
@@ -206,7 +205,7 @@ _COVER_SQL = f"""
 
 def _coverage(t):
     return interval_coverage(order_intervals(t), category="plant_type", value="mw", closed=False,
-                             step_seconds=86400, categories=_PLANTS)
+                             step_seconds=86400)
 
 
 @query("d12_outage_report", f"""
@@ -238,16 +237,16 @@ def q_distribution(spark, sf_dir):
 
 @query("d13_density_histogram", f"""
 WITH {SQL_PRED},
-e AS (SELECT series_id, y - yhat AS x FROM p WHERE model = 'naive24'),
-bb AS (SELECT series_id, min(x) AS lo, max(x) AS hi, count(x) AS n FROM e GROUP BY 1),
-hh AS (SELECT series_id, lo, hi, n, least(floor((x - lo) / ((hi - lo) / 60)), 59) AS bin, count(*) AS count
-      FROM e JOIN bb USING (series_id) GROUP BY ALL)
-SELECT series_id, bin, lo + bin * (hi - lo) / 60 AS bin_left, count, count / (n * (hi - lo) / 60) AS density FROM hh""",
+e AS (SELECT series_id, model, y - yhat AS x FROM p),
+bb AS (SELECT series_id, model, min(x) AS lo, max(x) AS hi, count(x) AS n FROM e GROUP BY 1, 2),
+hh AS (SELECT series_id, model, lo, hi, n, least(floor((x - lo) / ((hi - lo) / 60)), 59) AS bin, count(*) AS count
+      FROM e JOIN bb USING (series_id, model) GROUP BY ALL)
+SELECT series_id, model, bin, lo + bin * (hi - lo) / 60 AS bin_left, count, count / (n * (hi - lo) / 60) AS density FROM hh""",
        doubles=["bin_left", "density"], ints=["bin"])
 def q_histogram(spark, sf_dir):
-    """60-bin density histogram of lag-24 residuals per series."""
-    p = predictions(Tables(spark, sf_dir)).filter(F.col("model") == "naive24")
-    return density_histogram(p.withColumn("x", F.col("y") - F.col("yhat")), ["series_id"], "x", 60)
+    """60-bin density histogram of the residuals per series and model."""
+    p = predictions(Tables(spark, sf_dir))
+    return density_histogram(p.withColumn("x", F.col("y") - F.col("yhat")), ["series_id", "model"], "x", 60)
 
 
 @query("d14_line_fit", f"""
@@ -268,7 +267,7 @@ cap AS (SELECT yr.category, yr.year, coalesce(
           (SELECT nameplate FROM np WHERE np.category = yr.category AND np.year <= yr.year ORDER BY np.year DESC LIMIT 1),
           (SELECT nameplate FROM np WHERE np.category = yr.category AND np.year > yr.year ORDER BY np.year LIMIT 1))
           AS nameplate FROM yr)
-SELECT cov.category, cov.ts, greatest(cap.nameplate - cov.total, 0) AS available
+SELECT cov.category, cov.ts, CASE WHEN cap.nameplate IS NOT NULL THEN greatest(cap.nameplate - cov.total, 0) END AS available
 FROM cov JOIN cap ON cap.category = cov.category AND cap.year = year(cov.ts)""", doubles=["available"])
 def q_available(spark, sf_dir):
     """Available capacity = max(nameplate (as-of yearly) − MW on outage, 0) per type and day."""
@@ -280,7 +279,8 @@ def q_available(spark, sf_dir):
     years = cov.select("category", F.year("ts").alias("year")).distinct()
     cap = asof_year(years, np_, "year", ["nameplate"], keys=["category"])
     j = cov.withColumn("year", F.year("ts")).join(cap, ["category", "year"])
-    return j.select("category", "ts", F.greatest(F.col("nameplate") - F.col("total"), F.lit(0.0)).alias("available"))
+    return j.select("category", "ts", F.when(F.col("nameplate").isNotNull(), F.greatest(
+        F.col("nameplate") - F.col("total"), F.lit(0.0))).alias("available"))
 
 
 @query("d16_event_loss", f"""

@@ -83,13 +83,13 @@ def q_arch(spark, sf_dir):
 @query("i19_adf")
 def q_adf(spark, sf_dir):
     """Augmented Dickey–Fuller (constant, AIC lag order) on residuals."""
-    return adf_test(residuals(Tables(spark, sf_dir)), G, "ts", "e", n_hint=550)
+    return adf_test(residuals(Tables(spark, sf_dir)), G, "ts", "e")
 
 
 @query("i20_kpss")
 def q_kpss(spark, sf_dir):
     """KPSS level-stationarity test (automatic bandwidth) on residuals."""
-    return kpss_test(residuals(Tables(spark, sf_dir)), G, "ts", "e", n_hint=550)
+    return kpss_test(residuals(Tables(spark, sf_dir)), G, "ts", "e")
 
 
 @query("i10_ols_hac_pvalues")
@@ -115,7 +115,7 @@ def q_gate(spark, sf_dir):
     t = Tables(spark, sf_dir)
     w = wide_predictions(t).select("series_id", "ts", F.col("y").alias("load_actual_mw"),
                                    F.col("naive24").alias("lag24"))
-    adf = adf_test(w, ["series_id"], "ts", "load_actual_mw", n_hint=550).select("series_id", "adf_p")
+    adf = adf_test(w, ["series_id"], "ts", "load_actual_mw").select("series_id", "adf_p")
     j = w.join(adf, "series_id")
     gated = j.withColumn("load_actual_mw", F.when(F.col("adf_p") >= 0.05, F.col("load_actual_mw") - F.col("lag24"))
                          .otherwise(F.col("load_actual_mw")))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import days_off_from_dates
 from ..operators.aggregates import interval_quality
-from ..operators.windows import Lookback, lookback_features, with_position
+from ..operators.windows import Lookback, lag_columns, lookback_features, with_position
 from .evaluate import linear_ramp, mondrian_widths, winkler
 from .features import HORIZONS, build_features, feature_columns, features_sql
 from .folds import chronological_split, fold_row_counts, fold_table
@@ -191,16 +191,16 @@ def q_conformal_pass(spark, sf_dir):
 
 @query("i25_quarter_hour_ramp", f"""
 WITH {SQL_PRED},
-w AS (SELECT series_id, ts, y AS a, yhat AS f FROM p WHERE model = 'naive24'),
+w AS (SELECT series_id, ts, lag(y) OVER (PARTITION BY series_id ORDER BY ts) AS a, yhat AS f FROM p WHERE model = 'naive24'),
 e AS (SELECT series_id, ts AS src, a, f, unnest(range(1, 5)) AS q FROM w),
 r AS (SELECT series_id, src - (4 - q) * INTERVAL 15 MINUTE AS ts, src, a + (q / 4.0) * (f - a) AS p15 FROM e)
-SELECT series_id, ts, p15 FROM (SELECT *, row_number() OVER (PARTITION BY series_id, ts ORDER BY src DESC) AS rn FROM r)
+SELECT series_id, ts, p15 FROM (SELECT *, row_number() OVER (PARTITION BY series_id, ts ORDER BY src DESC) AS rn FROM r WHERE p15 IS NOT NULL)
 WHERE rn = 1""", doubles=["p15"])
 def q_ramp(spark, sf_dir):
-    """Linear 15-minute ramp from the current value to the hourly forecast."""
+    """Linear 15-minute ramp from the last known value (lag 1, not the target hour's own) to the hourly forecast."""
     p = predictions(Tables(spark, sf_dir)).filter(F.col("model") == "naive24")
-    return linear_ramp(p.select("series_id", "ts", F.col("y").alias("a"), F.col("yhat").alias("f")), ["series_id"],
-                       "ts", "a", "f")
+    known = lag_columns(p.select("series_id", "ts", "y", F.col("yhat").alias("f")), ["series_id"], "ts", "y", [1])
+    return linear_ramp(known, ["series_id"], "ts", "lag1", "f")
 
 
 # --- I27 feature tables on the hourly event series -----------------------------------
@@ -210,8 +210,9 @@ _MASTER_SQL = ("SELECT event_type AS series_id, date_trunc('hour', ts) AS ts, av
                "CAST(count(*) AS DOUBLE) AS wind10_ms, max(value) / 10 AS wind100_ms, sum(value) AS ghi_wm2, "
                "min(value) AS dni_wm2, stddev_samp(value) AS cloud_pct, avg(value) - min(value) AS precip_mm, "
                "max(value) - min(value) AS rh_pct FROM events GROUP BY 1, 2")
-_FEAT_DATES = ("dates AS (SELECT DISTINCT CAST((date_trunc('hour', ts) AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Sofia' "
-               "AS DATE) AS d FROM events)")
+_FEAT_DATES = ("seen AS (SELECT CAST((date_trunc('hour', ts) AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Sofia' AS DATE) AS d "
+               "FROM events), dates AS (SELECT CAST(unnest(generate_series(CAST(min(d) AS TIMESTAMP) - INTERVAL 1 DAY, "
+               "CAST(max(d) AS TIMESTAMP) + INTERVAL 1 DAY, INTERVAL 1 DAY)) AS DATE) AS d FROM seen)")
 
 
 def hourly_inputs(spark, t):
@@ -223,7 +224,10 @@ def hourly_inputs(spark, t):
                    (F.max(v) / 10).alias("wind100_ms"), F.sum(v).alias("ghi_wm2"), F.min(v).alias("dni_wm2"),
                    F.stddev_samp(v).alias("cloud_pct"), (F.avg(v) - F.min(v)).alias("precip_mm"),
                    (F.max(v) - F.min(v)).alias("rh_pct"))
-    dates = master.select(F.to_date(F.from_utc_timestamp("ts", "Europe/Sofia")).alias("date")).distinct()
+    # every day of the span and its neighbours: a day off counts where no row lies on it, too
+    day = F.to_date(F.from_utc_timestamp(F.date_trunc("hour", "ts"), "Europe/Sofia"))
+    dates = ev.agg(F.min(day).alias("a"), F.max(day).alias("b")).where("a is not null").select(
+        F.explode(F.sequence(F.date_sub("a", 1), F.date_add("b", 1))).alias("date"))
     off = days_off_from_dates(spark, dates)
     return load, master, off
 

@@ -31,9 +31,9 @@ def read_dataset(spark: SparkSession, path: str, fmt: str = "parquet", schema: T
                  with_ingest_seq: bool = False, **options) -> DataFrame:
     """A1: read a dataset with a declared schema (no inference on the hot path).
 
-    ``with_ingest_seq`` adds ``ingest_seq`` = (file path, row position) so that
-    "keep first in file order" (B4) is deterministic: a monotonically increasing
-    id taken right at the scan follows file order within each split.
+    ``with_ingest_seq`` adds ``ingest_file`` and ``ingest_seq``; sorting by both is file
+    order ("keep first", B4). In Parquet the number is the row's index in its file; in
+    other formats, which have no index, an increasing id that follows the splits.
     """
     r = spark.read.format(fmt)
     if schema is not None:
@@ -43,7 +43,8 @@ def read_dataset(spark: SparkSession, path: str, fmt: str = "parquet", schema: T
     df = r.options(**options).load(path)
     if with_ingest_seq:
         df = (df.withColumn("ingest_file", F.col("_metadata.file_path"))
-                .withColumn("ingest_seq", F.monotonically_increasing_id()))
+                .withColumn("ingest_seq", F.col("_metadata.row_index") if fmt == "parquet"
+                            else F.monotonically_increasing_id()))
     return canonical_timestamps(df)
 
 
