@@ -142,15 +142,15 @@ def learn_neighbours(docs: DataFrame, labels: DataFrame, rows_per_label: int = 1
             .mapInArrow(run, "label int, place array<int>, n array<float>")).toPandas()
     if not len(rows):
         return Neighbours(words, np.zeros(width(words)), np.zeros((width(words), 1)), np.zeros((0, 1)), np.zeros(0), k, 0.5)
-    rows = rows.iloc[sorted(range(len(rows)), key=lambda i: (rows["label"][i], rows["place"][i].tobytes(),
-                                                            rows["n"][i].tobytes()))]  # tasks end in any order
-    x = np.zeros((len(rows), width(words)), dtype=np.float32)
-    for i, (place, n) in enumerate(zip(rows["place"], rows["n"], strict=True)):
-        x[i, place] = n
+    sample = sorted((int(r.label), np.asarray(r.place, np.int32).tobytes(), np.asarray(r.n, np.float32).tobytes())
+                    for r in rows.itertuples())  # tasks end in any order
+    x = np.zeros((len(sample), width(words)), dtype=np.float32)
+    for i, (_, place, n) in enumerate(sample):
+        x[i, np.frombuffer(place, np.int32)] = np.frombuffer(n, np.float32)
     weight = np.log((1 + len(x)) / (1 + (x > 0).sum(axis=0))).astype(np.float32) + np.float32(0.1)
     x = _weighted(x, weight)
     project = _truncated_svd(x, rank).astype(np.float32)
-    label = rows["label"].to_numpy(dtype=np.float64)
+    label = np.array([r[0] for r in sample], dtype=np.float64)
     return Neighbours(words, weight, project, _unit(x @ project), label, k, float(label.mean()))
 
 
