@@ -191,8 +191,3 @@ def line_fit(df: DataFrame, group: Sequence[str], y: str, x: str) -> DataFrame:
 def event_loss(nominal: str, available: str) -> Column:
     """``max(nominal − coalesce(available, 0), 0)``."""
     return F.greatest(F.col(nominal) - F.coalesce(F.col(available), F.lit(0.0)), F.lit(0.0))
-
-
-def normal_pdf(x: Column, mu: Column, sigma: Column) -> Column:
-    """D13 overlay: normal density."""
-    return F.exp(-0.5 * F.pow((x - mu) / sigma, 2)) / (sigma * math.sqrt(2 * math.pi))

@@ -57,13 +57,6 @@ def hourly_grid(df: DataFrame, series: Sequence[str], ts: str = "ts", step: str
     return explode_grid(grid_bounds(df, series, ts, step, rule, cut), series, step, ts)
 
 
-def common_grid(df: DataFrame, series: Sequence[str], ts: str = "ts", step: str = "1 hour") -> DataFrame:
-    """B6 (week-ahead rule): one grid from ``max(starts)`` to ``min(ends)`` over all series."""
-    b = df.groupBy(*series).agg(F.min(ts).alias("s"), F.max(ts).alias("e")).agg(
-        F.max("s").alias("grid_start"), F.min("e").alias("grid_end"))
-    return b.select(F.explode(F.sequence("grid_start", "grid_end", F.expr(f"INTERVAL {step}"))).alias(ts))
-
-
 def align_to_grid(grid: DataFrame, df: DataFrame, keys: Sequence[str], values: Sequence[str] | None = None) -> DataFrame:
     """Left join of the grid and the series; missing → NULL, off-grid rows dropped."""
     cols = list(keys) + (list(values) if values is not None else [c for c in df.columns if c not in keys])

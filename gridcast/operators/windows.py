@@ -201,12 +201,6 @@ def backward_fill(df: DataFrame, series: Sequence[str], pos: str, cols: Sequence
     return _running(df, series, pos, cols, bucket_rows, "fill", reverse=True)
 
 
-def forward_backward_fill(df: DataFrame, series: Sequence[str], pos: str, cols: Sequence[str],
-                          bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
-    """Forward fill, then backward fill what is still missing (leading gap)."""
-    return backward_fill(forward_fill(df, series, pos, cols, bucket_rows), series, pos, cols, bucket_rows)
-
-
 def prefix_sums(df: DataFrame, series: Sequence[str], pos: str, cols: Sequence[str],
                 bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
     """Running sums ``cum_<col>`` (NULLs count as 0 once a value was seen)."""
@@ -222,14 +216,3 @@ def lag_columns(df: DataFrame, series: Sequence[str], ts: str, value: str, lags:
     for k in lags:
         spec.lag(f"{prefix}{k}", value, k)
     return lookback_features(d, series, "_p", spec, bucket_rows).drop("_p")
-
-
-def rolling_mean_columns(df: DataFrame, series: Sequence[str], ts: str, value: str,
-                         frames: Mapping[str, tuple[int, int, int]], *, mode: str = "rows",
-                         step_seconds: int = 3600, bucket_rows: int | None = None) -> DataFrame:
-    """E2 convenience: ``{name: (lo, hi, min_periods)}`` → mean over [p-lo, p-hi]."""
-    d = with_position(df, series, ts, mode, step_seconds, out="_p")
-    spec = Lookback()
-    for name, (lo, hi, mp) in frames.items():
-        spec.rolling_mean(name, value, lo, hi, mp)
-    return lookback_features(d, series, "_p", spec, bucket_rows).drop("_p")

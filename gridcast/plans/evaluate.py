@@ -112,16 +112,3 @@ def winkler(y: Column, lo: Column, hi: Column, alpha: float = 0.10) -> Column:
     """Winkler interval score of one row."""
     return (hi - lo) + F.when(y < lo, (2 / alpha) * (lo - y)).otherwise(0.0) + F.when(
         y > hi, (2 / alpha) * (y - hi)).otherwise(0.0)
-
-
-def normal_sf(z: Column) -> Column:
-    """Upper tail of the standard normal: ``erfc(z/√2)/2`` via ``1 − Φ``.
-
-    Spark has no ``erfc``; Φ uses the Abramowitz–Stegun 7.1.26 rational
-    approximation (|error| < 1.5e-7).
-    """
-    x = F.abs(z) / math.sqrt(2)
-    t = 1 / (1 + 0.3275911 * x)
-    poly = t * (0.254829592 + t * (-0.284496736 + t * (1.421413741 + t * (-1.453152027 + t * 1.061405429))))
-    erfc = poly * F.exp(-x * x)
-    return F.when(z >= 0, erfc / 2).otherwise(1 - erfc / 2)

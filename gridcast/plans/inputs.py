@@ -31,12 +31,6 @@ def event_grid(t: Tables, how: str = "sum") -> DataFrame:
     return align_to_grid(hourly_grid(h, ["series_id"], "ts"), h, ["series_id", "ts"])
 
 
-def event_total_hourly(t: Tables) -> DataFrame:
-    """One target series ("load"): hourly total of all events."""
-    ev = t("events", "ts", "value")
-    return ev.groupBy(F.date_trunc("hour", "ts").alias("ts")).agg(F.sum("value").alias("value"))
-
-
 def order_daily(t: Tables) -> DataFrame:
     """(series_id, ts, value): daily total price per order priority."""
     o = t("orders", "o_orderpriority", "o_orderdate", "o_totalprice")

@@ -119,10 +119,6 @@ FROM g CROSS JOIN t LEFT JOIN i ON i.{cat} = t.category AND {cond}
 GROUP BY 1, 2"""
 
 
-def _bounds(iv):
-    return iv.agg(F.min("start").alias("grid_start"), F.max("end").alias("grid_end"))
-
-
 @query("c7_interval_closed_flag", _interval_sql(True, "business_type", _TYPES, False))
 def q_closed(spark, sf_dir):
     """Per category and day, the number of intervals with start ≤ t ≤ end (flag = active > 0)."""
