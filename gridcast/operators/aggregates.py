@@ -6,7 +6,6 @@ shuffle), so a group holding a third of all rows is combined map-side.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window

@@ -7,7 +7,6 @@ local day), never over a whole series.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.calendar import days_off_from_dates
 from ..operators.aggregates import interval_quality
 from ..operators.windows import Lookback, lag_columns, lookback_features, with_position
-from .evaluate import linear_ramp, mondrian_widths, winkler
+from .evaluate import linear_ramp, mondrian_widths
 from .features import HORIZONS, build_features, feature_columns, features_sql
 from .folds import chronological_split, fold_row_counts, fold_table
 from .inputs import SQL_ORDER_DAILY, order_daily
