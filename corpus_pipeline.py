@@ -7,15 +7,13 @@ on all rows that its predecessor kept.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridcast.llm import decontam, exact_dedup, mixing, simhash, toxicity
-from gridcast.llm.common import drop_rows, keep_rows, table
+from gridcast.llm.common import drop_rows, keep_rows, saved, table
 from gridcast.llm.queries import labels
-from gridcast.session import checkpoint_dir, ensure_utc
+from gridcast.session import ensure_utc
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,12 +57,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each one's rows are kept in the shared folder."""
+    """All stages over ``documents``; each one's rows are written to the shared folder and read from there."""
     ensure_utc(spark)
-    folder = f"{checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        out = stage(spark, docs, sf_dir)
-        out.write.parquet(f"{folder}/{name}")
-        docs = spark.read.schema(out.schema).parquet(f"{folder}/{name}")
+    for _, stage in STAGES:
+        docs = saved(stage(spark, docs, sf_dir))
     return docs
