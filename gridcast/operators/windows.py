@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 
 DEFAULT_BUCKET_ROWS = 1 << 16
 _SPAN = 4096
+
+
 def position_index(df: DataFrame, series: Sequence[str], order: Sequence[str], out: str = "pos",
                    coarse_seconds: int = 3600) -> DataFrame:
     """Dense 0-based row number per series, computed without a per-series task.
@@ -114,11 +116,17 @@ class Lookback:
         self.items.append((name, "diff", (col, k1, k2)))
         return self
 
+    def history(self, name: str, col: str, k: int) -> "Lookback":
+        """Array of ``col`` at positions p-1, p-2, ... p-k, as far as they exist (no NULLs in ``col``,
+        dense positions). One frame serves all k lags: lag l is ``get(name, l - 1)``."""
+        self.items.append((name, "history", (col, k)))
+        return self
+
     @property
     def lookback(self) -> int:
         m = 0
         for _, kind, a in self.items:
-            m = max(m, a[1] if kind in ("lag", "mean", "sum") else max(a[1], a[2]))
+            m = max(m, a[1] if kind != "diff" else max(a[1], a[2]))
         return m
 
 
@@ -147,6 +155,8 @@ def lookback_features(df: DataFrame, series: Sequence[str], pos: str, spec: Look
             e = at(a[0], a[1])
         elif kind == "diff":
             e = at(a[0], a[1]) - at(a[0], a[2])
+        elif kind == "history":
+            e = F.reverse(F.collect_list(F.col(a[0])).over(w.rangeBetween(-a[1], -1)))
         else:
             col, lo, hi, mp = a
             fw = w.rangeBetween(-lo, -hi)

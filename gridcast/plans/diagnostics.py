@@ -101,12 +101,9 @@ def autocovariances(df: DataFrame, group: Sequence[str], ts: str, x: str, max_la
     if not g:
         raise ValueError("autocovariances needs at least one group column")
     c = position_index(c, g, [ts])
-    spec = Lookback()
-    for lag in range(1, max_lag + 1):
-        spec.lag(f"_l{lag}", "_c", lag)
-    w = lookback_features(c, g, "pos", spec)
+    w = lookback_features(c, g, "pos", Lookback().history("_h", "_c", max_lag))
     aggs = [F.first("n").alias("n"), F.first("mean").alias("mean"), F.sum(F.col("_c") * F.col("_c")).alias("s0")]
-    aggs.append(F.array(*[F.coalesce(F.sum(F.col("_c") * F.col(f"_l{lag}")), F.lit(0.0))
+    aggs.append(F.array(*[F.coalesce(F.sum(F.col("_c") * F.get("_h", F.lit(lag - 1))), F.lit(0.0))
                           for lag in range(1, max_lag + 1)]).alias("ac"))
     return w.groupBy(*g).agg(*aggs)
 
@@ -163,12 +160,15 @@ def jarque_bera(df: DataFrame, group: Sequence[str], x: str) -> DataFrame:
 
 # --- Gram-based regressions on lag matrices (I17, I19, I10) ------------------------------------
 
-def _lagged(df, group, ts, x, lags, extra_cols=()):
+def _lagged(df, group, ts, x, lags):
+    """``x`` less its group mean as ``_x`` (a regression with a constant is the same, and its raw
+    sums of squares do not cancel), with its position and its last ``lags`` values as array ``_h``."""
     g = list(group) or ["_all"]
     d = df if group else df.withColumn("_all", F.lit(1))
-    d = position_index(d.select(*g, ts, F.col(x).cast("double").alias("_x"), *extra_cols)
-                       .filter(F.col("_x").isNotNull()), g, [ts])
-    return d, g
+    d = d.select(*g, ts, F.col(x).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
+    mean = d.groupBy(*g).agg(F.avg("_x").alias("_mean"))
+    d = d.join(mean, g).withColumn("_x", F.col("_x") - F.col("_mean")).drop("_mean")
+    return lookback_features(position_index(d, g, [ts]), g, "pos", Lookback().history("_h", "_x", lags)), g
 
 
 def _ols_from_gram(gpdf: pd.Series, k: int):
@@ -182,12 +182,7 @@ def _ols_from_gram(gpdf: pd.Series, k: int):
 def arch_lm(df: DataFrame, group: Sequence[str], ts: str, e: str, q: int = 48) -> DataFrame:
     """Regress e²_t on [1, e²_{t−1..t−q}]; LM = (n − q)·R², p = χ²_q tail."""
     d, g = _lagged(df.withColumn("_e2", F.col(e) * F.col(e)), group, ts, "_e2", q)
-    spec = Lookback()
-    for lag in range(1, q + 1):
-        spec.lag(f"_l{lag}", "_x", lag)
-    w = lookback_features(d, g, "pos", spec).dropna()
-    feats = [f"_l{lag}" for lag in range(1, q + 1)]
-    gram = gram_table(w, g, feats, "_x")
+    gram = gram_table(d.filter(F.col("pos") >= q), g, [F.get("_h", F.lit(i)) for i in range(q)], "_x")
     schema = T.StructType([gram.schema[c] for c in g] + [T.StructField("arch_lm", T.DoubleType()),
                                                           T.StructField("arch_p", T.DoubleType())])
 
@@ -201,8 +196,8 @@ def arch_lm(df: DataFrame, group: Sequence[str], ts: str, e: str, q: int = 48) -
         xx[:, 0] = sx
         xx[1:, 1:] = _ols_from_gram(r, q)
         xy = np.concatenate([[r["sy"]], np.asarray(r["sxy"], float)])
-        beta = np.linalg.lstsq(xx, xy, rcond=None)[0]
         sst = r["syy"] - r["sy"] ** 2 / n
+        beta = np.linalg.lstsq(xx, xy, rcond=None)[0]
         ssr = r["syy"] - 2 * beta @ xy + beta @ xx @ beta
         lm = n * (1 - ssr / sst) if sst > 0 else float("nan")
         out = {c: r[c] for c in g}
@@ -230,16 +225,13 @@ def adf_test(df: DataFrame, group: Sequence[str], ts: str, x: str, max_lag: int
 
     if own_lag:
         max_lag = default_lag(_largest_group(df, group, x))
-    d, g = _lagged(df, group, ts, x, max_lag)
-    spec = Lookback()
-    for lag in range(1, max_lag + 2):
-        spec.lag(f"_xl{lag}", "_x", lag)
-    w = lookback_features(d, g, "pos", spec).filter(F.col("pos") >= 1)
-    feats = ["_xl1"] + [f"_d{i}" for i in range(1, max_lag + 1)]
-    cols = [*g, F.least(F.col("pos"), F.lit(max_lag + 1)).alias("_k"), (F.col("_x") - F.col("_xl1")).alias("_dy"),
-            F.col("_xl1")]
-    cols += [F.coalesce(F.col(f"_xl{i}") - F.col(f"_xl{i + 1}"), F.lit(0.0)).alias(f"_d{i}") for i in range(1, max_lag + 1)]
-    gram = gram_table(w.select(*cols), [*g, "_k"], feats, "_dy")
+    d, g = _lagged(df, group, ts, x, max_lag + 1)
+    back = lambda i: F.get("_h", F.lit(i))
+    steps = F.array(*[F.coalesce(back(i) - back(i + 1), F.lit(0.0)) for i in range(max_lag)]).cast("array<double>")
+    w = d.filter(F.col("pos") >= 1).select(*g, F.least(F.col("pos"), F.lit(max_lag + 1)).alias("_k"),
+                                           (F.col("_x") - back(0)).alias("_dy"), back(0).alias("_xl1"), steps.alias("_d"))
+    feats = ["_xl1"] + [F.get("_d", F.lit(i)) for i in range(max_lag)]
+    gram = gram_table(w, [*g, "_k"], feats, "_dy")
     kf = len(feats)
     schema = T.StructType([gram.schema[c] for c in g] + [T.StructField("used_lag", T.IntegerType()),
                                                          T.StructField("adf_stat", T.DoubleType()),
@@ -353,51 +345,48 @@ def kpss_test(df: DataFrame, group: Sequence[str], ts: str, x: str) -> DataFrame
 def ols_hac(df: DataFrame, group: Sequence[str], ts: str, y: str, features: Sequence[str], max_lag: int = 48) -> DataFrame:
     """OLS of y on [1, z] (z standardised, ddof 1) with Bartlett-HAC standard errors.
 
-    Pass 1: Gram → β per group. Pass 2: score vectors s_t = u_t·[1, z_t] and the
-    lagged cross sums Σ s_t s_{t−l}ᵀ for l ≤ L, as built-in aggregates over the lag
-    columns of one bucket+halo window pass. Output: one row per (group, feature)
-    with coef, se and two-sided normal p (no small-sample correction).
+    Pass 1: Gram → β per group. Pass 2: with score vectors s_t = u_t·[1, z_t] and zeros
+    around them, Σ_l (1 − |l|/(L+1)) Σ_t s_t s_{t−l}ᵀ = Σ_τ B_τ B_τᵀ / (L+1), where B_τ is the
+    sum of the L+1 scores up to τ. So one rolling sum per score and the Gram of the rolling
+    sums serve any L. Output: one row per (group, feature) with coef, se and two-sided normal
+    p (no small-sample correction). Rows with a NULL are left out; ``ts`` is unique in a group.
     """
     g = list(group) or ["_all"]
     d = df if group else df.withColumn("_all", F.lit(1))
     d = d.select(*g, ts, F.col(y).cast("double").alias("_y"), *[F.col(f).cast("double") for f in features]).dropna()
-    st = d.groupBy(*g).agg(*[F.avg(f).alias(f"_m_{f}") for f in features], *[F.stddev_samp(f).alias(f"_s_{f}")
-                                                                            for f in features])
-    z = d.join(st, g).select(*g, ts, "_y", *[F.when(F.col(f"_s_{f}") > 0, (F.col(f) - F.col(f"_m_{f}")) / F.col(f"_s_{f}"))
-                                              .otherwise(0.0).alias(f) for f in features])
+    st = d.groupBy(*g).agg(F.avg("_y").alias("_mean"), *[F.avg(f).alias(f"_m_{f}") for f in features],
+                           *[F.stddev_samp(f).alias(f"_s_{f}") for f in features])
+    # the target less its mean: the constant gets it back at the end
+    z = d.join(st, g).select(*g, ts, (F.col("_y") - F.col("_mean")).alias("_y"), "_mean", *[
+        F.when(F.col(f"_s_{f}") > 0, (F.col(f) - F.col(f"_m_{f}")) / F.col(f"_s_{f}")).otherwise(0.0).alias(f)
+        for f in features])
     gram = gram_table(z, g, list(features), "_y")
     kf = len(features)
     coef_schema = T.StructType([gram.schema[c] for c in g] + [T.StructField("beta", T.ArrayType(T.DoubleType())),
-                                                              T.StructField("xtx_inv", T.ArrayType(T.DoubleType()))])
+                                                              T.StructField("xtx_inv", T.ArrayType(T.DoubleType())),
+                                                              T.StructField("rows", T.LongType())])
 
     def solve(p: pd.DataFrame) -> pd.DataFrame:
         r = p.iloc[0]
         xx, xy, _ = _design(r, kf)
         inv = np.linalg.pinv(xx)
         out = {c: r[c] for c in g}
-        out.update(beta=[float(v) for v in inv @ xy], xtx_inv=[float(v) for v in inv.ravel()])
+        out.update(beta=[float(v) for v in inv @ xy], xtx_inv=[float(v) for v in inv.ravel()], rows=int(r["n"]))
         return pd.DataFrame([out])
 
-    coefs = gram.groupBy(*g).applyInPandas(solve, coef_schema)
+    coefs = cut_lineage(gram.groupBy(*g).applyInPandas(solve, coef_schema))  # one row per group, read three times
     xs = F.array(F.lit(1.0), *[F.col(f) for f in features])
     u = F.col("_y") - F.aggregate(F.zip_with("beta", xs, lambda b, v: b * v), F.lit(0.0), lambda a, b: a + b)
     scores = [(u * (F.lit(1.0) if i == 0 else F.col(features[i - 1]))).alias(f"_s{i}") for i in range(kf + 1)]
-    sc = z.join(coefs.select(*g, "beta"), g).select(*g, ts, *scores)
-    sc = position_index(sc, g, [ts])
+    sc = position_index(z.join(coefs.select(*g, "beta"), g).select(*g, ts, *scores), g, [ts])
+    after = coefs.select(*g, F.explode(F.sequence(F.col("rows"), F.col("rows") + max_lag - 1)).alias("pos")) \
+        .select(*g, "pos", *[F.lit(0.0).alias(f"_s{i}") for i in range(kf + 1)])
     spec = Lookback()
     for i in range(kf + 1):
-        for lag in range(1, max_lag + 1):
-            spec.lag(f"_s{i}_l{lag}", f"_s{i}", lag)
-    w = lookback_features(sc, g, "pos", spec)
-    aggs = []
-    for lag in range(0, max_lag + 1):
-        for i in range(kf + 1):
-            for j in range(kf + 1):
-                other = F.col(f"_s{j}") if lag == 0 else F.col(f"_s{j}_l{lag}")
-                if lag == 0 and j < i:
-                    continue
-                aggs.append(F.coalesce(F.sum(F.col(f"_s{i}") * other), F.lit(0.0)).alias(f"_m{lag}_{i}_{j}"))
-    meat = w.groupBy(*g).agg(*aggs)
+        spec.rolling_sum(f"_b{i}", f"_s{i}", max_lag, 0)
+    rolled = sc.drop(ts) if not max_lag else sc.drop(ts).unionByName(after)
+    w = lookback_features(rolled, g, "pos", spec)
+    meat = gram_table(w, g, [f"_b{i}" for i in range(kf + 1)], "_b0").select(*g, "sxx")
     res_schema = T.StructType([gram.schema[c] for c in g] + [T.StructField("feature", T.StringType()),
                                                              T.StructField("coef", T.DoubleType()),
                                                              T.StructField("se", T.DoubleType()),
@@ -407,17 +396,11 @@ def ols_hac(df: DataFrame, group: Sequence[str], ts: str, y: str, features: Sequ
     def finish(p: pd.DataFrame) -> pd.DataFrame:
         r = p.iloc[0]
         k = kf + 1
-        s = np.zeros((k, k))
-        for i in range(k):
-            for j in range(i, k):
-                s[i, j] = s[j, i] = r[f"_m0_{i}_{j}"]
-        for lag in range(1, max_lag + 1):
-            wt = 1 - lag / (max_lag + 1.0)
-            gl = np.array([[r[f"_m{lag}_{i}_{j}"] for j in range(k)] for i in range(k)])
-            s += wt * (gl + gl.T)
+        s = _ols_from_gram(r, k) / (max_lag + 1.0)
         inv = np.asarray(r["xtx_inv"], float).reshape(k, k)
         v = inv @ s @ inv
-        beta = np.asarray(r["beta"], float)
+        beta = np.array(r["beta"], float)
+        beta[0] += r["_mean"]
         se = np.sqrt(np.clip(np.diag(v), 0, None))
         zz = np.where(se > 0, beta / np.where(se > 0, se, 1), np.nan)
         pv = 2 * (1 - norm_cdf(np.abs(zz)))
@@ -425,7 +408,8 @@ def ols_hac(df: DataFrame, group: Sequence[str], ts: str, y: str, features: Sequ
                  "p": float(pv[i])} for i in range(k)]
         return pd.DataFrame(rows)
 
-    res = meat.join(coefs, g).groupBy(*g).applyInPandas(finish, res_schema)
+    res = (meat.join(coefs, g).join(st.select(*g, "_mean"), g)
+           .groupBy(*g).applyInPandas(finish, res_schema))
     return res.drop("_all") if not group else res
 
 

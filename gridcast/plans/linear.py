@@ -25,7 +25,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,11 +38,12 @@ N_ALPHAS, ALPHA_EPS = 100, 1e-3
 
 # --- I2: Gram table -----------------------------------------------------------------
 
-def gram_table(df: DataFrame, keys: Sequence[str], features: Sequence[str], y: str) -> DataFrame:
+def gram_table(df: DataFrame, keys: Sequence[str], features: Sequence[str | Column], y: str) -> DataFrame:
     """Sufficient statistics per ``keys`` in one aggregation:
-    ``n, sy, syy, sx[k], sxy[k], sxx[k(k+1)/2]`` (upper triangle, row-major)."""
+    ``n, sy, syy, sx[k], sxy[k], sxx[k(k+1)/2]`` (upper triangle, row-major).
+    A feature is a column name or an expression."""
     k = len(features)
-    x = [F.col(f).cast("double") for f in features]
+    x = [(F.col(f) if isinstance(f, str) else f).cast("double") for f in features]
     yy = F.col(y).cast("double")
     pairs = [(i, j) for i in range(k) for j in range(i, k)]
     aggs = [F.count(F.lit(1)).alias("n"), F.sum(yy).alias("sy"), F.sum(yy * yy).alias("syy")]
