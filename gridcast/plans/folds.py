@@ -45,12 +45,11 @@ def fold_counts(df: DataFrame, folds: DataFrame, ts: str = "ts", series: Sequenc
                 step_seconds: int = 3600) -> DataFrame:
     """Rows per fold and role (train / cal / test), per series.
 
-    Rows are first counted per (series, step) — a partial aggregation whose
-    size is bounded by the calendar — and only that table meets the broadcast
-    fold table in a range join.
+    Rows are first counted per (series, step), a partial aggregation whose size is
+    bounded by the calendar, and only that table is spread over the folds.
     """
     per = df.groupBy(*series, F.col(ts).alias("_t")).agg(F.count(F.lit(1)).alias("_n"))
-    j = per.join(F.broadcast(folds), (F.col("_t") >= F.col("train_start")) & (F.col("_t") < F.col("test_end")))
+    j = rows_in_folds(per, folds, "_t", "train_start", "test_end").join(F.broadcast(folds), "fold_id")
     role = (F.when(F.col("_t") >= F.col("test_start"), "test")
             .when(F.col("_t") >= F.col("cal_start"), "cal").otherwise("train"))
     c = j.groupBy(*series, "fold_id", role.alias("role")).agg(F.sum("_n").alias("rows"))
@@ -71,14 +70,21 @@ def valid_folds(counts: DataFrame, min_train: int, min_test: int = 1, min_cal: i
                          & (F.col("n_cal") >= min_cal))
 
 
-def test_membership(df: DataFrame, folds: DataFrame, ts: str = "ts") -> DataFrame:
-    """C10 (test role): each row with the fold whose test block holds it.
+def rows_in_folds(df: DataFrame, folds: DataFrame, ts: str, start: str, stop: str) -> DataFrame:
+    """Each row once for every fold with ``start <= ts < stop``, plus ``fold_id``.
 
-    Test blocks do not overlap, so each row matches at most one fold; the fold
-    table is a bounded broadcast.
+    The fold table travels as one array (a row per test block, bounded by the calendar),
+    so a row meets only its own folds and no inequality join is planned.
     """
-    return df.join(F.broadcast(folds.select("fold_id", "test_start", "test_end")),
-                   (F.col(ts) >= F.col("test_start")) & (F.col(ts) < F.col("test_end"))).drop("test_start", "test_end")
+    spans = folds.agg(F.collect_list(F.struct("fold_id", F.col(start).alias("a"), F.col(stop).alias("b"))).alias("_spans"))
+    own = F.filter("_spans", lambda f: (F.col(ts) >= f["a"]) & (F.col(ts) < f["b"]))
+    return (df.crossJoin(F.broadcast(spans)).select(*df.columns, F.explode(own).alias("_f"))
+            .select(*df.columns, F.col("_f.fold_id").alias("fold_id")))
+
+
+def test_membership(df: DataFrame, folds: DataFrame, ts: str = "ts") -> DataFrame:
+    """C10 (test role): each row with the fold whose test block holds it (blocks do not overlap)."""
+    return rows_in_folds(df, folds, ts, "test_start", "test_end")
 
 
 def chronological_split(df: DataFrame, ts: str, at: str) -> tuple[DataFrame, DataFrame]:

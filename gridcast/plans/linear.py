@@ -7,16 +7,15 @@
 * A fold's training window, a CV split or a calibration window is a contiguous
   range of segments, so its Gram is a sum of a few small arrays; no row is
   rescanned per fold or per alpha.
-* Solvers (ridge with a GCV-chosen α, lasso / elastic net by coordinate descent
-  on the Gram with ``TimeSeriesSplit``-style CV) run per series on executors via
-  ``cogroup().applyInPandas`` over k×k statistics only.
+* Solvers (ridge with a GCV-chosen α, lasso by its exact path, elastic net by coordinate
+  descent on the Gram, both with ``TimeSeriesSplit``-style CV) run per (series, fold,
+  model) on executors via ``applyInPandas`` over k×k statistics only.
 * Predictions join a coefficient table to the test rows and take the dot
   product with built-in array functions (I8).
 
-Approximations, stated: ridge α is chosen by generalised cross-validation on
-the Gram (the reference's exact leave-one-out needs per-row leverages); the
-coordinate descent stops at a relative coefficient change of 1e-4 (the
-reference uses a duality-gap tolerance of 1e-3).
+Approximation, stated: ridge α is chosen by generalised cross-validation on the Gram
+(the reference's exact leave-one-out needs per-row leverages of every fold). Sums are
+taken of values less their series mean, so that squares do not cancel.
 """
 
 from __future__ import annotations
@@ -30,10 +29,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.windows import position_index
+from ..session import cut_lineage
+from .folds import rows_in_folds, test_membership
 
 RIDGE_ALPHAS = tuple(float(a) for a in np.logspace(-2, 4, 13))
 EN_L1_RATIOS = (0.1, 0.5, 0.7, 0.9, 0.95, 0.99)
 N_ALPHAS, ALPHA_EPS = 100, 1e-3
+CD_MAX_SWEEPS, CD_GAP = 8000, 1e-3
 
 
 # --- I2: Gram table -----------------------------------------------------------------
@@ -118,18 +120,32 @@ def ridge_gcv(cxx, cxy, cyy, n, alphas=RIDGE_ALPHAS):
     return best[2], best[1]
 
 
-def _cd_batch(cxx, cxy, n, alphas, l1_ratio, tol=1e-4, max_iter=1000):
+def duality_gap(cxx, cxy, cyy, n, alpha, l1_ratio, beta):
+    """Relative duality gap of elastic-net coefficients, per problem (leading batch axis)."""
+    l1, l2 = n * alpha * l1_ratio, n * alpha * (1 - l1_ratio)
+    fitted = np.einsum("bij,bj->bi", cxx, beta)
+    rss = cyy - 2 * np.sum(beta * cxy, axis=1) + np.sum(beta * fitted, axis=1)
+    steepest = np.max(np.abs(cxy - fitted - l2[:, None] * beta), axis=1)
+    scale = np.minimum(1.0, l1 / np.maximum(steepest, 1e-300))  # makes the residual dual feasible
+    gap = (0.5 * rss * (1 + scale ** 2) + l1 * np.abs(beta).sum(axis=1) - scale * (cyy - np.sum(beta * cxy, axis=1))
+           + 0.5 * l2 * (1 + scale ** 2) * np.sum(beta ** 2, axis=1))
+    return gap / np.maximum(cyy, 1e-300)
+
+
+def _cd_batch(cxx, cxy, n, alphas, l1_ratio, tol=1e-4, max_iter=CD_MAX_SWEEPS, cyy=None):
     """Elastic-net coordinate descent for a batch of problems, warm-started along
     each problem's alpha path (all arrays have a leading batch axis B).
 
     Objective per problem: (1/2n)‖y − Zβ‖² + α·ρ‖β‖₁ + α(1−ρ)/2‖β‖², on centred
-    Grams ``cxx[B,k,k]``, ``cxy[B,k]``. ``alphas[B,A]``. Returns ``betas[B,A,k]``.
+    Grams ``cxx[B,k,k]``, ``cxy[B,k]``. ``alphas[B,A]``. Returns ``betas[B,A,k]``. Stops at a
+    relative coefficient change of ``tol``; given ``cyy[B]``, at a relative duality gap of CD_GAP.
     """
     cxx, cxy = np.asarray(cxx, float), np.asarray(cxy, float)
     bsz, k = cxy.shape
     n = np.asarray(n, float).reshape(bsz)
     rho_l1 = np.asarray(l1_ratio, float).reshape(bsz)
     alphas = np.asarray(alphas, float).reshape(bsz, -1)
+    cyy = None if cyy is None else np.asarray(cyy, float).reshape(bsz)
     diag = np.einsum("bjj->bj", cxx)
     live = diag > 0
     beta = np.zeros((bsz, k))
@@ -145,7 +161,10 @@ def _cd_batch(cxx, cxy, n, alphas, l1_ratio, tol=1e-4, max_iter=1000):
                                0.0)
                 delta = np.maximum(delta, np.abs(new - beta[:, j]))
                 beta[:, j] = new
-            if np.all(delta <= tol * np.maximum(1.0, np.max(np.abs(beta), axis=1))):
+            if cyy is None:
+                if np.all(delta <= tol * np.maximum(1.0, np.max(np.abs(beta), axis=1))):
+                    break
+            elif np.all(duality_gap(cxx, cxy, cyy, n, alphas[:, a], rho_l1, beta) < CD_GAP):
                 break
         out[:, a, :] = beta
     return out
@@ -164,7 +183,7 @@ def lasso_path_lars(cxx, cxy, n, alphas):
     lam = float(np.max(np.abs(corr))) if k else 0.0
     active = [int(np.argmax(np.abs(corr)))] if k and lam > 0 else []
     knots = [(lam, beta.copy())]
-    for _ in range(8 * k + 8):
+    for _ in range(CD_MAX_SWEEPS):
         if not active or lam <= 0:
             break
         a = np.array(active)
@@ -226,7 +245,7 @@ def cv_elastic_net(train: Gram, splits: list[tuple[Gram, Gram]], mu, sd, l1_rati
     """LassoCV / ElasticNetCV on Grams: per l1 ratio an alpha grid from the full
     training window, mean test MSE over the CV splits (all splits × ratios solved
     as one batch), the best (ratio, alpha), then a refit on the full window."""
-    cxx, cxy, _, _, _ = train.centred(mu, sd)
+    cxx, cxy, cyy, _, _ = train.centred(mu, sd)
     grids = {rho: _alpha_grid(cxy, train.n, rho) for rho in l1_ratios}
     probs = [(rho, si) for rho in l1_ratios for si in range(len(splits))]
     stats = [splits[si][0].centred(mu, sd) for _, si in probs]
@@ -235,7 +254,7 @@ def cv_elastic_net(train: Gram, splits: list[tuple[Gram, Gram]], mu, sd, l1_rati
                           for st, (_, si) in zip(stats, probs)])
     else:
         betas = _cd_batch([st[0] for st in stats], [st[1] for st in stats], [splits[si][0].n for _, si in probs],
-                          [grids[rho] for rho, _ in probs], [rho for rho, _ in probs])
+                          [grids[rho] for rho, _ in probs], [rho for rho, _ in probs], cyy=[st[2] for st in stats])
     best = None
     for rho in l1_ratios:
         mse = np.zeros(N_ALPHAS)
@@ -255,62 +274,82 @@ def cv_elastic_net(train: Gram, splits: list[tuple[Gram, Gram]], mu, sd, l1_rati
     if rho == 1.0:
         beta = lasso_path_lars(cxx, cxy, train.n, [a])[0]
     else:
-        beta = _cd_batch([cxx], [cxy], [train.n], [[a]], [rho])[0, 0]
-    return beta, a, rho
-
-
-def _ts_splits(n: int, n_splits: int) -> list[tuple[int, int, int]]:
-    """TimeSeriesSplit positions: (train_end, test_start, test_end) relative to the window."""
-    size = n // (n_splits + 1)
-    return [(n - (n_splits - i) * size, n - (n_splits - i) * size, n - (n_splits - i - 1) * size)
-            for i in range(n_splits)]
+        beta = _cd_batch([cxx], [cxy], [train.n], [[a]], [rho], cyy=[cyy])[0, 0]
+    gap = duality_gap(cxx[None], cxy[None], np.array([cyy]), np.array([train.n]), np.array([a]), np.array([rho]), beta[None])
+    return beta, a, rho, float(gap[0])
 
 
 COEF_SCHEMA = T.StructType([
     T.StructField("fold_id", T.IntegerType()), T.StructField("model", T.StringType()),
     T.StructField("intercept", T.DoubleType()), T.StructField("beta", T.ArrayType(T.DoubleType())),
     T.StructField("alpha", T.DoubleType()), T.StructField("l1_ratio", T.DoubleType()),
-    T.StructField("n_train", T.LongType())])
+    T.StructField("gap", T.DoubleType()), T.StructField("n_train", T.LongType())])
+
+
+def _solver(k: int, series_cols: Sequence[str]):
+    """Fits one model of one fold from the Gram rows of its training segments -> one coefficient row."""
+
+    def solve(segments: pd.DataFrame) -> pd.DataFrame:
+        columns = [*series_cols, *COEF_SCHEMA.names]
+        head = segments.iloc[0]
+        roles = {r["role"]: (r["seg_lo"], r["seg_hi"]) for r in head["roles"]}
+
+        def window(role):
+            lo, hi = roles[role]
+            return Gram.from_rows(segments[(segments["seg"] >= lo) & (segments["seg"] < hi)], k)
+
+        tr = window("train")
+        if tr.n < 2:
+            return pd.DataFrame(columns=columns)
+        mu, sd = tr.scaler()
+        cxx, cxy, cyy, zbar, ybar = tr.centred(mu, sd)
+        if head["model"] == "ridge":
+            (bz, a), rho, gap = ridge_gcv(cxx, cxy, cyy, tr.n), 0.0, 0.0
+        else:
+            splits = [(window(r), window(r.replace("train", "test"))) for r in sorted(roles) if r.startswith("cvtrain")]
+            bz, a, rho, gap = cv_elastic_net(tr, splits, mu, sd, (1.0,) if head["model"] == "lasso" else EN_L1_RATIOS)
+        b0z = ybar - float(zbar @ bz)  # intercept in z units
+        w = bz / sd
+        return pd.DataFrame([{**{c: head[c] for c in series_cols}, "fold_id": int(head["fold_id"]), "model": head["model"],
+                              "intercept": float(b0z - w @ mu), "beta": [float(v) for v in w], "alpha": float(a),
+                              "l1_ratio": float(rho), "gap": gap, "n_train": int(tr.n)}], columns=columns)
 
+    return solve
 
-def _solver(features, models, series_cols):
-    k = len(features)
 
-    def solve(gram_pdf: pd.DataFrame, plan_pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = []
-        if len(plan_pdf) == 0:
-            return pd.DataFrame(columns=[*series_cols, *COEF_SCHEMA.names])
-        key = {c: plan_pdf[c].iloc[0] for c in series_cols}
-        g = gram_pdf.set_index("seg").sort_index()
+def fold_plan(comp: DataFrame, folds: DataFrame, series: Sequence[str], ts: str, min_train: int,
+              cv_splits: int) -> DataFrame:
+    """``(series…, fold_id, role, lo, hi)``: the row positions ``[lo, hi)`` of each role of each fold.
 
-        def window(lo, hi):
-            return Gram.from_rows(g.loc[(g.index >= lo) & (g.index < hi)], k)
+    Rows are counted per stretch between two of the folds' instants (a fold has four, so
+    stretches are bounded by the calendar); the rows before an instant are a sum of
+    stretches. Roles: train, cal, test and ``cvtrain<i>``/``cvtest<i>``, which cut the
+    training window into ``cv_splits`` + 1 stretches of equal size (the first takes the rest).
+    """
+    marks = ["train_start", "cal_start", "test_start", "test_end"]
+    cuts = folds.select(F.explode(F.array(*marks)).alias("at")).agg(F.array_sort(F.collect_set("at")).alias("cuts"))
+    upto = F.size(F.filter("cuts", lambda c: c <= F.col(ts)))
+    counts = comp.crossJoin(F.broadcast(cuts)).groupBy(*series, upto.alias("s")).agg(F.count(F.lit(1)).alias("n"))
+    per = counts.groupBy(*series).agg(F.collect_list(F.struct("s", "n")).alias("st"))
 
-        for fold_id, fp in plan_pdf.groupby("fold_id"):
-            parts = {r.role: (int(r.seg_lo), int(r.seg_hi)) for r in fp.itertuples()}
-            tr = window(*parts["train"])
-            if tr.n < 2:
-                continue
-            mu, sd = tr.scaler()
-            for m in models:
-                if m == "ridge":
-                    cxx, cxy, cyy, zbar, ybar = tr.centred(mu, sd)
-                    bz, a = ridge_gcv(cxx, cxy, cyy, tr.n)
-                    rho = 0.0
-                else:
-                    splits = [(window(*parts[f"cvtrain{i}"]), window(*parts[f"cvtest{i}"]))
-                              for i in range(100) if f"cvtrain{i}" in parts]
-                    ratios = (1.0,) if m == "lasso" else EN_L1_RATIOS
-                    bz, a, rho = cv_elastic_net(tr, splits, mu, sd, ratios)
-                    _, _, _, zbar, ybar = tr.centred(mu, sd)
-                b0z = ybar - float(zbar @ bz)  # intercept in z units
-                w = bz / sd
-                rows.append({**key, "fold_id": int(fold_id), "model": m, "intercept": float(b0z - w @ mu),
-                             "beta": [float(v) for v in w], "alpha": float(a), "l1_ratio": float(rho),
-                             "n_train": int(tr.n)})
-        return pd.DataFrame(rows, columns=[*series_cols, *COEF_SCHEMA.names])
+    def before(mark: str) -> Column:
+        earlier = F.filter("st", lambda x: x["s"] < F.array_position("cuts", F.col(mark)))
+        return F.aggregate(earlier, F.lit(0).cast("bigint"), lambda t, x: t + x["n"])
 
-    return solve
+    at = (per.crossJoin(F.broadcast(folds.crossJoin(cuts)))  # one row per series and fold
+          .select(*series, "fold_id", *[before(m).alias(c) for m, c in zip(marks, "abcd")])
+          .filter((F.col("b") - F.col("a") >= min_train) & (F.col("d") > F.col("c")))
+          .withColumn("size", F.floor((F.col("b") - F.col("a")) / F.lit(cv_splits + 1))))
+
+    def role(name: str, lo: Column, hi: Column) -> Column:
+        return F.struct(F.lit(name).alias("role"), lo.alias("lo"), hi.alias("hi"))
+
+    a, b, size = F.col("a"), F.col("b"), F.col("size")
+    roles = [role("train", a, b), role("cal", b, F.col("c")), role("test", F.col("c"), F.col("d"))]
+    for i in range(cv_splits):
+        roles += [role(f"cvtrain{i}", a, b - size * (cv_splits - i)),
+                  role(f"cvtest{i}", b - size * (cv_splits - i), b - size * (cv_splits - i - 1))]
+    return at.select(*series, "fold_id", F.inline(F.array(*roles))).filter("hi > lo")
 
 
 def predict(df: DataFrame, coefs: DataFrame, features: Sequence[str], on: Sequence[str], out: str = "yhat") -> DataFrame:
@@ -332,62 +371,42 @@ def walk_forward_linear(feat: DataFrame, folds: DataFrame, *, series: Sequence[s
     Folds with fewer than ``min_train`` complete training rows or an empty test
     block are skipped.
     """
-    spark = feat.sparkSession
-    series = list(series)
+    series, features, k = list(series), list(features), len(features)
     comp = feat.select(*series, ts, y, *features).dropna()
-    pos = position_index(comp, series, [ts])
-    # rows before each boundary instant, per series: per-step counts ⋈ broadcast boundaries
-    per = comp.groupBy(*series, F.col(ts).alias("_t")).agg(F.count(F.lit(1)).alias("_n"))
-    b = folds.select("fold_id", F.inline(F.array(
-        F.struct(F.lit("a").alias("k"), F.col("train_start").alias("at")),
-        F.struct(F.lit("b").alias("k"), F.col("cal_start").alias("at")),
-        F.struct(F.lit("c").alias("k"), F.col("test_start").alias("at")),
-        F.struct(F.lit("d").alias("k"), F.col("test_end").alias("at")))))
-    before = (per.join(F.broadcast(b), F.col("_t") < F.col("at"))
-              .groupBy(*series, "fold_id", "k").agg(F.sum("_n").alias("p")))
-    # (per-step counts × boundaries is bounded by the calendar, not by rows)
-    pts = (before.groupBy(*series, "fold_id").pivot("k", ["a", "b", "c", "d"]).agg(F.first("p"))
-           .fillna(0, subset=["a", "b", "c", "d"]))
-    plan_rows, bound_rows = [], {}
-    for r in pts.collect():  # one row per (series, fold): a fold table, not data
-        key = tuple(r[c] for c in series)
-        pa, pb, pc, pd_ = int(r["a"]), int(r["b"]), int(r["c"]), int(r["d"])
-        if pb - pa < min_train or pd_ - pc < 1:
-            continue
-        cuts = [("train", pa, pb), ("test", pc, pd_)]
-        if pc > pb:
-            cuts.append(("cal", pb, pc))
-        for i, (te0, te_s, te_e) in enumerate(_ts_splits(pb - pa, cv_splits)):
-            cuts += [(f"cvtrain{i}", pa, pa + te0), (f"cvtest{i}", pa + te_s, pa + te_e)]
-        for role, lo, hi in cuts:
-            plan_rows.append((*key, int(r["fold_id"]), role, lo, hi))
-            bound_rows.setdefault(key, set()).update((lo, hi))
-    sschema = ", ".join(f"`{c}` {dict(feat.dtypes)[c]}" for c in series)
-    bounds = spark.createDataFrame([(*k, sorted(v)) for k, v in bound_rows.items()],
-                                   f"{sschema}, bounds array<bigint>")
-
-    def idx(p):
-        return F.size(F.filter("bounds", lambda x: x <= p))
-
-    seg_rows = pos.join(bounds, series).withColumn("seg", idx(F.col("pos")))
-    gram = gram_table(seg_rows, [*series, "seg"], features, y)
-    plan = spark.createDataFrame(plan_rows, f"{sschema}, fold_id int, role string, pos_lo bigint, pos_hi bigint")
-    plan = (plan.join(bounds, series)
-            .select(*series, "fold_id", "role", idx(F.col("pos_lo")).alias("seg_lo"),
-                    idx(F.col("pos_hi")).alias("seg_hi")))
+    plan = cut_lineage(fold_plan(comp, folds, series, ts, min_train, cv_splits))  # series × folds × roles rows
+    bounds = plan.groupBy(*series).agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.array("lo", "hi"))))).alias("bounds"))
+
+    def segment(p: str) -> Column:
+        return F.size(F.filter("bounds", lambda x: x <= F.col(p)))
+
+    plan = plan.join(bounds, series).select(*series, "fold_id", F.struct(
+        "role", segment("lo").alias("seg_lo"), segment("hi").alias("seg_hi")).alias("r"))
+    train = plan.groupBy(*series, "fold_id").agg(F.collect_list("r").alias("roles")).withColumn(
+        "_train", F.filter("roles", lambda r: r["role"] == "train")[0])
+    means = comp.groupBy(*series).agg(F.avg(y).alias("_my"), F.array(*[F.avg(f) for f in features]).alias("_mx"))
+    rows = (position_index(comp, series, [ts]).join(bounds, series).join(means, series)
+            .select(*series, segment("pos").alias("seg"), (F.col(y) - F.col("_my")).alias("_y"),
+                    *[(F.col(f) - F.col("_mx")[i]).alias(f) for i, f in enumerate(features)]))
+    gram = gram_table(rows, [*series, "seg"], features, "_y")
+    # each (series, fold, model) gets its own copy of the few Gram rows of its training window
+    own = (gram.join(train, series).filter("seg >= _train.seg_lo and seg < _train.seg_hi").drop("_train")
+           .withColumn("model", F.explode(F.array(*[F.lit(m) for m in models]))))
+    group = [*series, "fold_id", "model"]
     out_schema = T.StructType([feat.schema[c] for c in series] + COEF_SCHEMA.fields)
-    coefs = (gram.groupBy(*series).cogroup(plan.groupBy(*series))
-             .applyInPandas(_solver(list(features), list(models), series), out_schema))
-    from .folds import test_membership
-    test = test_membership(comp, folds, ts)
-    preds = predict(test, coefs.select(*series, "fold_id", "model", "intercept", "beta"), features,
-                    [*series, "fold_id"]).select(*series, "fold_id", "model", ts, F.col(y).alias("y"), "yhat")
+    coefs = own.groupBy(*group).applyInPandas(_solver(k, series), out_schema)
+    back = F.aggregate(F.zip_with("beta", "_mx", lambda b, m: b * m), F.lit(0.0), lambda t, v: t + v)
+    coefs = coefs.join(means, series).select(
+        *series, *[(F.col("intercept") + F.col("_my") - back).alias(c) if c == "intercept" else F.col(c)
+                   for c in COEF_SCHEMA.names])
+    coefs = cut_lineage(coefs)  # one row per (series, fold, model): predictions and errors reuse the fit
+    weights = coefs.select(*group, "intercept", "beta")
+    preds = predict(test_membership(comp, folds, ts), weights, features, [*series, "fold_id"]).select(
+        *series, "fold_id", "model", ts, F.col(y).alias("y"), "yhat")
     train_mae = None
     if with_train_mae:
-        tr = comp.join(F.broadcast(folds.select("fold_id", "train_start", "cal_start")),
-                       (F.col(ts) >= F.col("train_start")) & (F.col(ts) < F.col("cal_start")))
-        tp = predict(tr, coefs.select(*series, "fold_id", "model", "intercept", "beta"), features,
-                     [*series, "fold_id"])
+        inside = rows_in_folds(comp, folds, ts, "train_start", "cal_start")
+        tp = predict(inside, weights, features, [*series, "fold_id"])
         per_fold = tp.groupBy(*series, "model", "fold_id").agg(F.avg(F.abs(F.col("yhat") - F.col(y))).alias("m"))
         train_mae = per_fold.groupBy(*series, "model").agg(F.avg("m").alias("train_mae"))
     return preds, coefs, train_mae

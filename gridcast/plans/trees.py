@@ -15,6 +15,9 @@ from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, RandomFor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+from .folds import fold_row_counts, valid_folds
+
 # --- fixed values (reference hyper-parameters) ------------------------------------------
 BOOSTED_1D = dict(maxIter=500, maxDepth=3, stepSize=0.03, subsamplingRate=0.7, featureSubsetStrategy="0.7",
                   minInstancesPerNode=20, minInfoGain=1.0, seed=42)
@@ -39,8 +42,9 @@ def walk_forward_trees(feat: DataFrame, folds: DataFrame, *, ts: str, y: str, fe
     ``[test_start, test_end)``. Returns (predictions, feature importances)."""
     params = dict(BOOSTED_1D if kind == "XGBoost" else SUPPLY_TREES.get(kind, {}), **(params or {}))
     asm = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="skip")
-    data = asm.transform(feat.select(*series, ts, F.col(y).alias("_label"), *features).dropna())
-    from .folds import fold_row_counts, valid_folds
+    # written once: every fold's fit and prediction reads the feature table from there
+    data = cut_lineage(asm.transform(feat.select(*series, ts, F.col(y).alias("_label"), *features).dropna())
+                       .select(*series, ts, "_label", "_features"))
     counts = valid_folds(fold_row_counts(data, folds, ts), min_train)  # one job for every fold's row counts
     ok = {r["fold_id"] for r in counts.select("fold_id").collect()}
     preds, imps = [], []
