@@ -99,16 +99,22 @@ def peak_metrics(df: DataFrame, group: Sequence[str], ts: str, y: str, yhat: str
                                  (F.avg(F.try_divide(e, F.col(y))) * 100).alias("peak_mape"))
 
 
-def correlations(df: DataFrame, target: str, features: Sequence[str]) -> DataFrame:
-    """corr(feature, target) for every feature in one pass, long form."""
-    row = df.agg(*[F.corr(f, target).alias(f) for f in features])
-    return row.unpivot([], list(features), "feature", "corr")
+def pearson(a: str, b: str) -> Column:
+    """Pearson correlation over rows with both values; NULL where either is constant."""
+    x, y = F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b))
+    return F.try_divide(F.covar_pop(a, b), F.sqrt(F.var_pop(x)) * F.sqrt(F.var_pop(y)))
+
+
+def correlations(df: DataFrame, target: str, features: Sequence[str], group: Sequence[str] = ()) -> DataFrame:
+    """corr(feature, target) for every feature in one pass, long form, per ``group``."""
+    row = df.groupBy(*group).agg(*[pearson(f, target).alias(f) for f in features])
+    return row.unpivot(list(group), list(features), "feature", "corr")
 
 
 def correlation_matrix(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Feature × feature Pearson matrix (long: a, b, corr) from one aggregation."""
     pairs = [(a, b) for i, a in enumerate(features) for b in features[i:]]
-    row = df.agg(*[F.corr(a, b).alias(f"{a}\u0001{b}") for a, b in pairs])
+    row = df.agg(*[pearson(a, b).alias(f"{a}\u0001{b}") for a, b in pairs])
     long = row.unpivot([], [f"`{a}\u0001{b}`" for a, b in pairs], "_p", "corr")
     parts = F.split(F.col("_p"), "\u0001")
     upper = long.select(parts[0].alias("a"), parts[1].alias("b"), "corr")

@@ -413,7 +413,11 @@ def ols_hac(df: DataFrame, group: Sequence[str], ts: str, y: str, features: Sequ
     return res.drop("_all") if not group else res
 
 
-def prune_features(pvalues: DataFrame, corr: DataFrame, p_max: float = 0.05, corr_min: float = 0.20) -> DataFrame:
-    """Drop a feature when p ≥ 0.05 **and** |corr with target| < 0.20."""
-    j = pvalues.join(corr, "feature")
-    return j.withColumn("keep", (F.col("p") < p_max) | (F.abs("corr") >= corr_min))
+def prune_features(pvalues: DataFrame, corr: DataFrame, p_max: float = 0.05, corr_min: float = 0.20,
+                   on: Sequence[str] = ("feature",)) -> DataFrame:
+    """Drop a feature when p ≥ 0.05 **and** |corr with target| < 0.20.
+
+    A constant feature has neither a p-value nor a correlation (NaN or NULL); it is kept."""
+    j = pvalues.join(corr, list(on))
+    drop = (F.col("p") >= p_max) & ~F.isnan("p") & (F.abs("corr") < corr_min)
+    return j.withColumn("keep", ~F.coalesce(drop, F.lit(False)))

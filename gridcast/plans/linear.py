@@ -412,6 +412,31 @@ def walk_forward_linear(feat: DataFrame, folds: DataFrame, *, series: Sequence[s
     return preds, coefs, train_mae
 
 
+def fixed_linear(train: DataFrame, features: Sequence[str], y: str, specs: Sequence[tuple[str, float, float]]) -> DataFrame:
+    """One fit per ``(model, alpha, l1_ratio)`` at given penalties, from one Gram of ``train``:
+    ``(model, intercept, beta)``. l1_ratio 0 is ridge (‖y − Xβ‖² + α‖β‖²), others as in
+    :func:`_cd_batch`. Columns are used as they are (standardise before)."""
+    k = len(features)
+    gram = gram_table(train.withColumn("_all", F.lit(1)), ["_all"], features, y)
+    specs = list(specs)
+
+    def solve(rows: pd.DataFrame) -> pd.DataFrame:
+        g = Gram.from_rows(rows, k)
+        cxx, cxy, cyy, xbar, ybar = g.centred(np.zeros(k), np.ones(k))
+        out = []
+        for model, alpha, rho in specs:
+            if rho == 0:
+                beta = np.linalg.solve(cxx + alpha * np.eye(k), cxy)
+            elif rho == 1:
+                beta = lasso_path_lars(cxx, cxy, g.n, [alpha])[0]
+            else:
+                beta = _cd_batch([cxx], [cxy], [g.n], [[alpha]], [rho], tol=1e-9)[0, 0]
+            out.append({"model": model, "intercept": float(ybar - xbar @ beta), "beta": [float(v) for v in beta]})
+        return pd.DataFrame(out, columns=["model", "intercept", "beta"])
+
+    return gram.groupBy("_all").applyInPandas(solve, "model string, intercept double, beta array<double>")
+
+
 def learning_curve_windows(spark, end_ts: str, windows_days: Sequence[int], valid_days: int = 45):
     """One 'fold' per training length: train on the last d days before the
     validation block (the last ``valid_days``), validate on that block."""

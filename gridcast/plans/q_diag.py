@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.aggregates import correlations
+from ..operators.timegrid import drop_empty_columns_fill_zero
+from ..session import cut_lineage
 from .diagnostics import (acf_column, adf_test, arch_lm, autocovariances, diebold_mariano, hac_mean_test,
                           jarque_bera, kpss_test, ljung_box, ols_hac, prune_features)
 from .q_aggs import SQL_PRED, predictions, wide_predictions
-from .q_model import DAILY_FEATURES, daily_features
+from .features import HORIZONS, build_features, feature_columns
+from .q_model import hourly_inputs
 from .registry import Tables, query
 
 G = ["series_id", "model"]
@@ -92,21 +95,31 @@ def q_kpss(spark, sf_dir):
     return kpss_test(residuals(Tables(spark, sf_dir)), G, "ts", "e")
 
 
+def _inference(spark, t, name):
+    """The I27 table of a horizon, written once, and its predictors for OLS: without the exact
+    combinations of other lags and without lags that reach back beyond the whole table."""
+    h = HORIZONS[name]
+    cols = [c for c in feature_columns(h) if c not in h.diffs]
+    f = cut_lineage(build_features(h, *hourly_inputs(spark, t)))
+    kept = drop_empty_columns_fill_zero(f, cols).columns
+    return f, [c for c in cols if c in kept]
+
+
 @query("i10_ols_hac_pvalues")
 def q_ols(spark, sf_dir):
-    """OLS on standardised daily features with Bartlett-HAC (14 lags) p-values."""
-    f = daily_features(Tables(spark, sf_dir))
-    return ols_hac(f, ["series_id"], "ts", "y", DAILY_FEATURES, 14)
+    """OLS on the standardised day-ahead feature table with Bartlett-HAC (48 lags) p-values."""
+    f, cols = _inference(spark, Tables(spark, sf_dir), "1d")
+    return ols_hac(f, ["series_id"], "ts", "load_actual_mw", cols, 48)
 
 
 @query("i11_feature_pruning")
 def q_prune(spark, sf_dir):
-    """Keep a feature unless p ≥ 0.05 and |corr with target| < 0.20 (pooled series)."""
-    t = Tables(spark, sf_dir)
-    f = daily_features(t).withColumn("_one", F.lit("all"))
-    p = ols_hac(f, ["_one"], "ts", "y", DAILY_FEATURES, 14).filter(F.col("feature") != "const").drop("_one")
-    c = correlations(f.dropna(), "y", DAILY_FEATURES)
-    return prune_features(p, c)
+    """Week-ahead table, HAC with 168 lags: keep a feature unless p ≥ 0.05 and
+    |corr with target| < 0.20, per series."""
+    f, cols = _inference(spark, Tables(spark, sf_dir), "1w")
+    p = ols_hac(f, ["series_id"], "ts", "load_actual_mw", cols, 168).filter(F.col("feature") != "const")
+    c = correlations(f.dropna(subset=["load_actual_mw", *cols]), "load_actual_mw", cols, ["series_id"])
+    return prune_features(p, c, on=["series_id", "feature"])
 
 
 @query("i21_difference_gate")

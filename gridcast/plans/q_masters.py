@@ -9,9 +9,11 @@ from .features import SUPPLY_FLAGS, SUPPLY_WEATHER, supply_features
 from .masters import day_ahead_master, supply_master, week_ahead_master
 from .q_joins import SQL_HOLIDAYS
 from .registry import Tables, query
+from .trees import supply_models
 
 GEN = ["click", "error", "signup", "view"]
 CUT = "2024-01-02 00:00:00"
+SPLIT = "2024-01-20 00:00:00"
 WX_MASTER = ["temp_c", "wind10_ms", "wind100_ms", "ghi_wm2", "dni_wm2", "cloud_pct", "precip_mm", "rh_pct"]
 
 
@@ -142,3 +144,11 @@ def q_week_ahead(spark, sf_dir):
     naive = wx.withColumn("ts", F.from_utc_timestamp("ts", "+03:00"))  # stamp as naive UTC+3 wall time
     dates = load.select(F.to_date(F.from_utc_timestamp("ts", "Europe/Sofia")).alias("date")).distinct()
     return week_ahead_master(load, naive, days_off_from_dates(spark, dates), cut=CUT, weather_cols=WX_MASTER)
+
+
+@query("i7_supply_tree_models")
+def q_supply_models(spark, sf_dir):
+    """Lasso, ridge, elastic net, decision tree, random forest (100), gradient boosting (100 rounds)
+    and naive on the standardised supply features; MSE, RMSE, MAE, MAPE of the last third."""
+    f = supply_features(_supply(spark, sf_dir))
+    return supply_models(f, "ts", "supply", SUPPLY_WEATHER + SUPPLY_FLAGS, SPLIT)

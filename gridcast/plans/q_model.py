@@ -5,19 +5,22 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.calendar import days_off_from_dates
-from ..operators.aggregates import interval_quality
+from ..operators.aggregates import correlations, interval_quality
 from ..operators.windows import Lookback, lag_columns, lookback_features, with_position
+from ..session import cut_lineage
 from .evaluate import linear_ramp, mondrian_widths
 from .features import HORIZONS, build_features, feature_columns, features_sql
-from .folds import chronological_split, fold_row_counts, fold_table
+from .folds import chronological_split, fold_row_counts, fold_table, rows_in_folds
 from .inputs import SQL_ORDER_DAILY, order_daily
-from .linear import gram_table, learning_curve_windows, walk_forward_linear
+from .linear import CD_GAP, gram_table, learning_curve_windows, predict, walk_forward_linear
 from .q_aggs import SQL_PRED, predictions
 from .q_joins import SQL_HOLIDAYS
 from .registry import Tables, query
 
 DAY = 86400
+# fixed values of the reference: block and window lengths, training lengths of the learning curve
 TEST0, TEST_DAYS, TRAIN_DAYS = "2000-01-01 00:00:00", 15, 730
+LEARNING_DAYS = (30, 60, 90, 150, 240, 365, 480, 560, 700)
 
 
 def _daily_end(t):
@@ -74,13 +77,14 @@ _DROLLS = {"roll7_mean": (7, 1, 4), "roll28_mean": (28, 1, 14)}
 DAILY_FEATURES = [f"lag{k}" for k in _DLAGS] + list(_DROLLS) + ["sindow", "cosdow", "sin_doy", "cos_doy"]
 
 
-def daily_features(t):
+def daily_features(daily):
+    """The modelling table of daily series ``(series_id, ts, value)``."""
     spec = Lookback()
     for k in _DLAGS:
         spec.lag(f"lag{k}", "value", k)
     for n, (lo, hi, mp) in _DROLLS.items():
         spec.rolling_mean(n, "value", lo, hi, mp)
-    d = with_position(order_daily(t), ["series_id"], "ts", "rows", out="_p")
+    d = with_position(daily, ["series_id"], "ts", "rows", out="_p")
     f = lookback_features(d, ["series_id"], "_p", spec).drop("_p")
     dow, doy = F.weekday("ts"), F.dayofyear("ts")
     return f.select("series_id", "ts", F.col("value").alias("y"), *[F.col(c) for c in DAILY_FEATURES[:6]],
@@ -99,7 +103,7 @@ SELECT series_id, seg, count(*) AS n, sum(y) AS sy, sum(y * y) AS syy, sum(x0) A
 FROM c GROUP BY 1, 2""", doubles=["sy", "syy", "sx0", "sx1", "sxy0", "sxy1", "sxx00", "sxx01", "sxx11"], ints=["seg"])
 def q_gram(spark, sf_dir):
     """Gram sufficient statistics per (series, segment) in one aggregation."""
-    f = daily_features(Tables(spark, sf_dir)).dropna(subset=["lag1", "lag7"])
+    f = daily_features(order_daily(Tables(spark, sf_dir))).dropna(subset=["lag1", "lag7"])
     f = f.select("series_id", "ts", *[(F.col(c) / 10000).alias(c) for c in ("y", "lag1", "lag7")])  # units of 10⁴
     g = gram_table(f.withColumn("seg", F.year("ts")), ["series_id", "seg"], ["lag1", "lag7"], "y")
     return g.select("series_id", "seg", "n", "sy", "syy", F.col("sx")[0].alias("sx0"), F.col("sx")[1].alias("sx1"),
@@ -109,7 +113,7 @@ def q_gram(spark, sf_dir):
 
 def _walk_forward(spark, sf_dir, models, cal_days=0):
     t = Tables(spark, sf_dir)
-    return walk_forward_linear(daily_features(t), _folds(spark, t, cal_days), series=["series_id"], ts="ts", y="y",
+    return walk_forward_linear(daily_features(order_daily(t)), _folds(spark, t, cal_days), series=["series_id"], ts="ts", y="y",
                                features=DAILY_FEATURES, models=models, min_train=300)
 
 
@@ -124,7 +128,7 @@ def q_ridge(spark, sf_dir):
 def q_lasso(spark, sf_dir):
     """I4: LassoCV (TimeSeriesSplit(4) on the Gram segments) coefficients per fold."""
     _, c, _ = _walk_forward(spark, sf_dir, ("lasso",))
-    return c.select("series_id", "fold_id", "model", "intercept", "alpha", "n_train",
+    return c.select("series_id", "fold_id", "model", "intercept", "alpha", "n_train", (F.col("gap") <= CD_GAP).alias("converged"),
                     F.size(F.filter("beta", lambda b: F.abs(b) > 1e-6)).alias("nonzero"))
 
 
@@ -132,29 +136,38 @@ def q_lasso(spark, sf_dir):
 def q_enet(spark, sf_dir):
     """ElasticNetCV over l1 ratios {.1,.5,.7,.9,.95,.99} per fold."""
     _, c, _ = _walk_forward(spark, sf_dir, ("elasticnet",))
-    return c.select("series_id", "fold_id", "model", "intercept", "alpha", "l1_ratio", "n_train")
+    return c.select("series_id", "fold_id", "model", "intercept", "alpha", "l1_ratio", "n_train",
+                    (F.col("gap") <= CD_GAP).alias("converged"))
 
 
 @query("i8_walk_forward_metrics")
 def q_wf_metrics(spark, sf_dir):
-    """I8 + D5/D7: test MAE per model and the mean training MAE over folds (overfit ratio)."""
-    p, _, tm = _walk_forward(spark, sf_dir, ("ridge", "lasso"))
+    """I8 + D5/D7: test MAE and mean training MAE over folds (overfit ratio) of the three linear models;
+    the boosted trees' test errors are I6's predictions."""
+    p, _, tm = _walk_forward(spark, sf_dir, ("ridge", "lasso", "elasticnet"))
     m = p.groupBy("series_id", "model").agg(F.count(F.lit(1)).alias("n"),
                                             F.avg(F.abs(F.col("yhat") - F.col("y"))).alias("test_mae"))
-    return m.join(tm, ["series_id", "model"]).withColumn("overfit", F.col("test_mae") / F.col("train_mae"))
+    return m.join(tm, ["series_id", "model"]).withColumn("overfit", F.try_divide("test_mae", "train_mae"))
 
 
 @query("i24_learning_curve")
 def q_learning(spark, sf_dir):
-    """Validation MAE of ridge trained on the last {30…700} days before a 45-day block."""
+    """Training and validation MAE of the linear models trained on the last {30…700} days before
+    a 45-day block."""
     t = Tables(spark, sf_dir)
     end = order_daily(t).agg(F.max("ts")).first()[0].isoformat(" ")
-    folds = learning_curve_windows(spark, end, [30, 60, 90, 150, 240, 365, 480, 560, 700], 45)
-    p, _, _ = walk_forward_linear(daily_features(t), folds.drop("days"), series=["series_id"], ts="ts", y="y",
-                                  features=DAILY_FEATURES, models=("ridge",), min_train=20, with_train_mae=False)
+    folds = learning_curve_windows(spark, end, LEARNING_DAYS, 45)
+    p, coefs, _ = walk_forward_linear(daily_features(order_daily(t)), folds.drop("days"), series=["series_id"], ts="ts", y="y",
+                                      features=DAILY_FEATURES, models=("ridge", "lasso", "elasticnet"), min_train=20,
+                                      with_train_mae=False)
+    key = ["series_id", "fold_id", "model"]
+    rows = rows_in_folds(daily_features(order_daily(t)).dropna(), folds, "ts", "train_start", "cal_start")
+    train = (predict(rows, coefs.select(*key, "intercept", "beta"), DAILY_FEATURES, key[:2])
+             .groupBy(*key).agg(F.avg(F.abs(F.col("yhat") - F.col("y"))).alias("train_mae")))
+    valid = p.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(F.col("yhat") - F.col("y"))).alias("mae"))
     days = folds.select("fold_id", "days")
-    return (p.join(F.broadcast(days), "fold_id").groupBy("series_id", "days")
-            .agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(F.col("yhat") - F.col("y"))).alias("mae")))
+    return (valid.join(train, key).join(F.broadcast(days), "fold_id")
+            .select("series_id", "model", "days", "n", "train_mae", "mae"))
 
 
 @query("i22_conformal_pass", f"""
@@ -257,7 +270,7 @@ def q_boosted(spark, sf_dir):
     series; the registered check uses 20 boosting rounds instead of 500 to bound its run time."""
     from .trees import walk_forward_trees
     t = Tables(spark, sf_dir)
-    p, _ = walk_forward_trees(daily_features(t), _folds(spark, t), ts="ts", y="y", features=DAILY_FEATURES,
+    p, _ = walk_forward_trees(daily_features(order_daily(t)), _folds(spark, t), ts="ts", y="y", features=DAILY_FEATURES,
                               kind="XGBoost", params={"maxIter": 20}, min_train=300, series=["series_id"])
     return p
 
@@ -270,38 +283,19 @@ def _whole_span(t):
                     F.col("b").alias("test_start"), (F.col("b") + one).alias("test_end"))
 
 
-@query("i7_supply_tree_models")
-def q_supply_trees(spark, sf_dir):
-    """Decision tree / random forest / gradient boosting on a chronological split; test MAE."""
-    from .trees import make_tree
-    from pyspark.ml.feature import VectorAssembler
-    t = Tables(spark, sf_dir)
-    f = daily_features(t).dropna()
-    asm = VectorAssembler(inputCols=DAILY_FEATURES, outputCol="_features")
-    d = asm.transform(f.withColumn("_label", F.col("y")))
-    tr, te = chronological_split(d, "ts", TEST0)
-    out = None
-    for kind, params in (("DecisionTree", {}), ("RandomForest", {"numTrees": 20}), ("GradientBoosting", {"maxIter": 10})):
-        from .trees import SUPPLY_TREES
-        m = make_tree(kind, **dict(SUPPLY_TREES[kind], **params)).fit(tr)
-        s = (m.transform(te).groupBy(F.lit(kind).alias("model"))
-             .agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(F.col("prediction") - F.col("_label"))).alias("mae")))
-        out = s if out is None else out.unionByName(s)
-    return out
-
-
 @query("i12_significant_features")
 def q_sig(spark, sf_dir):
-    """Significant-feature matrix from full-data fits: OLS-HAC p, lasso/elastic-net
-    non-zero coefficients, boosted-tree importances."""
+    """Significant-feature matrix from full-data fits on the sum of all series: OLS-HAC p (48 lags),
+    lasso/elastic-net non-zero coefficients, importances of 500 boosted trees, correlations."""
     from .diagnostics import ols_hac
     from .trees import significant_features, walk_forward_trees
     t = Tables(spark, sf_dir)
-    f = daily_features(t).withColumn("_all", F.lit("all"))
-    ols = ols_hac(f, ["_all"], "ts", "y", DAILY_FEATURES, 7)
+    total = order_daily(t).groupBy(F.lit("all").alias("series_id"), "ts").agg(F.sum("value").alias("value"))
+    f = cut_lineage(daily_features(total).dropna())
+    ols = ols_hac(f, ["series_id"], "ts", "y", DAILY_FEATURES, 48)
     span = _whole_span(t)
-    _, coefs, _ = walk_forward_linear(f, span, series=["_all"], ts="ts", y="y", features=DAILY_FEATURES,
+    _, coefs, _ = walk_forward_linear(f, span, series=["series_id"], ts="ts", y="y", features=DAILY_FEATURES,
                                       models=("lasso", "elasticnet"), min_train=300, with_train_mae=False)
-    _, imps = walk_forward_trees(f, span, ts="ts", y="y", features=DAILY_FEATURES, kind="XGBoost",
-                                 params={"maxIter": 20}, min_train=300)
-    return significant_features(ols, coefs.select("model", "fold_id", "beta"), imps, DAILY_FEATURES)
+    _, imps = walk_forward_trees(f, span, ts="ts", y="y", features=DAILY_FEATURES, kind="XGBoost", min_train=300)
+    return significant_features(ols, coefs.select("model", "fold_id", "beta"), imps, DAILY_FEATURES,
+                                correlations(f, "y", DAILY_FEATURES))
