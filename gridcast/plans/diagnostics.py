@@ -308,6 +308,7 @@ def kpss_test(df: DataFrame, group: Sequence[str], ts: str, x: str) -> DataFrame
     from ..operators.windows import prefix_sums
     g = list(group) or ["_all"]
     d = df if group else df.withColumn("_all", F.lit(1))
+    d = cut_lineage(d.select(*g, ts, x))  # written once: three passes read it
     first = autocovariances(d, g, ts, x, max(1, int(_largest_group(d, g, x) ** (2.0 / 9.0))))
     head = F.slice("ac", 1, F.floor(F.pow("n", F.lit(2.0 / 9.0))).cast("int"))
     total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, b: a + b)
@@ -353,14 +354,17 @@ def ols_hac(df: DataFrame, group: Sequence[str], ts: str, y: str, features: Sequ
     """
     g = list(group) or ["_all"]
     d = df if group else df.withColumn("_all", F.lit(1))
-    d = d.select(*g, ts, F.col(y).cast("double").alias("_y"), *[F.col(f).cast("double") for f in features]).dropna()
-    st = d.groupBy(*g).agg(F.avg("_y").alias("_mean"), *[F.avg(f).alias(f"_m_{f}") for f in features],
-                           *[F.stddev_samp(f).alias(f"_s_{f}") for f in features])
+    # the features as one array: dozens of columns in each step would make planning slow
+    x = F.array(*[F.col(f).cast("double") for f in features])
+    d = d.select(*g, ts, F.col(y).cast("double").alias("_y"), x.alias("_x")).filter(
+        F.col("_y").isNotNull() & ~F.exists("_x", lambda v: v.isNull()))
+    at = [F.get("_x", F.lit(i)) for i in range(len(features))]
+    st = d.groupBy(*g).agg(F.avg("_y").alias("_mean"), F.array(*[F.avg(c) for c in at]).alias("_m"),
+                           F.array(*[F.stddev_samp(c) for c in at]).alias("_s"))
+    scaled = F.transform("_x", lambda v, i: F.coalesce(F.try_divide(v - F.get("_m", i), F.get("_s", i)), F.lit(0.0)))
     # the target less its mean: the constant gets it back at the end
-    z = d.join(st, g).select(*g, ts, (F.col("_y") - F.col("_mean")).alias("_y"), "_mean", *[
-        F.when(F.col(f"_s_{f}") > 0, (F.col(f) - F.col(f"_m_{f}")) / F.col(f"_s_{f}")).otherwise(0.0).alias(f)
-        for f in features])
-    gram = gram_table(z, g, list(features), "_y")
+    z = d.join(st, g).select(*g, ts, (F.col("_y") - F.col("_mean")).alias("_y"), scaled.alias("_z"))
+    gram = gram_table(z, g, [F.get("_z", F.lit(i)) for i in range(len(features))], "_y")
     kf = len(features)
     coef_schema = T.StructType([gram.schema[c] for c in g] + [T.StructField("beta", T.ArrayType(T.DoubleType())),
                                                               T.StructField("xtx_inv", T.ArrayType(T.DoubleType())),
@@ -375,16 +379,17 @@ def ols_hac(df: DataFrame, group: Sequence[str], ts: str, y: str, features: Sequ
         return pd.DataFrame([out])
 
     coefs = cut_lineage(gram.groupBy(*g).applyInPandas(solve, coef_schema))  # one row per group, read three times
-    xs = F.array(F.lit(1.0), *[F.col(f) for f in features])
-    u = F.col("_y") - F.aggregate(F.zip_with("beta", xs, lambda b, v: b * v), F.lit(0.0), lambda a, b: a + b)
-    scores = [(u * (F.lit(1.0) if i == 0 else F.col(features[i - 1]))).alias(f"_s{i}") for i in range(kf + 1)]
-    sc = position_index(z.join(coefs.select(*g, "beta"), g).select(*g, ts, *scores), g, [ts])
-    after = coefs.select(*g, F.explode(F.sequence(F.col("rows"), F.col("rows") + max_lag - 1)).alias("pos")) \
-        .select(*g, "pos", *[F.lit(0.0).alias(f"_s{i}") for i in range(kf + 1)])
+    u = F.col("_y") - F.aggregate(F.zip_with("beta", "_one_z", lambda b, v: b * v), F.lit(0.0), lambda a, b: a + b)
+    sc = (z.join(coefs.select(*g, "beta"), g).withColumn("_one_z", F.concat(F.array(F.lit(1.0)), "_z"))
+          .withColumn("_u", u).select(*g, ts, F.transform("_one_z", lambda v: v * F.col("_u")).alias("_score")))
+    sc = position_index(sc, g, [ts]).select(*g, "pos", "_score")
+    after = coefs.select(*g, F.explode(F.sequence(F.col("rows"), F.col("rows") + max_lag - 1)).alias("pos"),
+                         F.array_repeat(F.lit(0.0), kf + 1).alias("_score"))
+    rolled = (sc.unionByName(after) if max_lag else sc).select(
+        *g, "pos", *[F.get("_score", F.lit(i)).alias(f"_s{i}") for i in range(kf + 1)])
     spec = Lookback()
     for i in range(kf + 1):
         spec.rolling_sum(f"_b{i}", f"_s{i}", max_lag, 0)
-    rolled = sc.drop(ts) if not max_lag else sc.drop(ts).unionByName(after)
     w = lookback_features(rolled, g, "pos", spec)
     meat = gram_table(w, g, [f"_b{i}" for i in range(kf + 1)], "_b0").select(*g, "sxx")
     res_schema = T.StructType([gram.schema[c] for c in g] + [T.StructField("feature", T.StringType()),

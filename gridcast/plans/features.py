@@ -13,13 +13,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import (HEAT_BASE_C, COOL_BASE_C, cyclical_calendar, holiday_classes, hour_harmonics)
 from ..functions.numeric import clip
 from ..functions.timefns import local_fields
-from ..operators.joins import date_flag, neighbour_day_flags
 from ..operators.windows import Lookback, lookback_features, with_position
 
 WEATHER = ["temp_c", "wind10_ms", "wind100_ms", "ghi_wm2", "dni_wm2", "cloud_pct", "precip_mm", "rh_pct"]
@@ -81,6 +80,26 @@ def _load_spec(h: Horizon, col: str = "load") -> Lookback:
     return spec
 
 
+DAY_FLAGS = ["_off", "_hol", "pre_holiday", "post_holiday", "bridge_day"]
+
+
+def day_flags(days_off: DataFrame) -> DataFrame:
+    """``(date, is_holiday)`` of the days off -> one row per day off or next to one, with all 0/1 DAY_FLAGS.
+
+    Each day off tells itself and its two neighbours, so the calendar is read once."""
+    shifts = F.array(*[F.struct(F.lit(k).alias("k"), F.date_add("date", k).alias("d")) for k in (-1, 0, 1)])
+    told = days_off.select(F.inline(shifts), F.col("is_holiday").alias("h"))
+
+    def any_of(at: int, flag: Column | None = None) -> Column:
+        return F.max(F.when(F.col("k") == at, F.lit(1) if flag is None else flag).otherwise(0))
+
+    h = F.col("h")
+    d = told.groupBy(F.col("d").alias("date")).agg(
+        any_of(0).alias("_off"), any_of(0, h).alias("_hol"), any_of(-1, h).alias("pre_holiday"),
+        any_of(1, h).alias("post_holiday"), (any_of(-1) * any_of(1)).alias("_between"))
+    return d.select("date", *DAY_FLAGS[:4], (F.col("_between") * (1 - F.col("_off"))).alias("bridge_day"))
+
+
 def build_features(h: Horizon, load: DataFrame, master: DataFrame, days_off: DataFrame, *,
                    series: tuple[str, ...] = ("series_id",), tz: str = "Europe/Sofia",
                    target: str = "load_actual_mw") -> DataFrame:
@@ -110,10 +129,8 @@ def build_features(h: Horizon, load: DataFrame, master: DataFrame, days_off: Dat
     lf = local_fields("ts", tz)
     base = base.select("*", lf["hour"].alias("_h"), lf["dow"].alias("_dow"), lf["doy"].alias("_doy"),
                        lf["month"].alias("_mon"), lf["day"].alias("_day"), lf["local_date"].alias("_date"))
-    base = date_flag(base, F.col("_date"), days_off, "_off")
-    base = date_flag(base, F.col("_date"), days_off.filter("is_holiday = 1"), "_hol")
-    nb = neighbour_day_flags(base.select(F.col("_date")).distinct(), "_date", days_off)
-    base = base.join(nb, "_date", "left")
+    base = base.join(F.broadcast(day_flags(days_off).withColumnRenamed("date", "_date")), "_date", "left").fillna(
+        0, subset=DAY_FLAGS)  # a calendar: a few rows for each day off in the span
     off = F.col("_off").cast("double")
     t = wcol["temp_c"]
     hdd, cdd = clip(F.lit(HEAT_BASE_C) - t, lower=0.0), clip(t - F.lit(COOL_BASE_C), lower=0.0)

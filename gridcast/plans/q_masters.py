@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.calendar import days_off_from_dates
+from ..session import cut_lineage
 from .features import SUPPLY_FLAGS, SUPPLY_WEATHER, supply_features
 from .masters import day_ahead_master, supply_master, week_ahead_master
 from .q_joins import SQL_HOLIDAYS
@@ -42,7 +43,7 @@ def _supply_inputs(spark, t):
                    F.col("ts").alias("start"),
                    (F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.floor("value").cast("int"))).alias("end")))
     dates = wx.select(F.to_date(F.from_utc_timestamp("ts", "Europe/Sofia")).alias("date")).distinct()
-    cal = days_off_from_dates(spark, dates)
+    cal = cut_lineage(days_off_from_dates(spark, dates))  # a calendar, made once
     return gen, net, wx, cal, out
 
 

@@ -241,8 +241,7 @@ def hourly_inputs(spark, t):
     day = F.to_date(F.from_utc_timestamp(F.date_trunc("hour", "ts"), "Europe/Sofia"))
     dates = ev.agg(F.min(day).alias("a"), F.max(day).alias("b")).where("a is not null").select(
         F.explode(F.sequence(F.date_sub("a", 1), F.date_add("b", 1))).alias("date"))
-    off = days_off_from_dates(spark, dates)
-    return load, master, off
+    return load, master, cut_lineage(days_off_from_dates(spark, dates))  # a calendar, made once
 
 
 def _feature_query(name):

@@ -59,9 +59,6 @@ def query(name: str, sql: str | None = None, doubles: Sequence[str] = (), ints:
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             ensure_utc(spark)
-            # plans with dozens of aliased lag columns make constraint inference blow up
-            # at planning time; it only adds inferred IS NOT NULL filters
-            spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
             return finish(fn(spark, sf_dir))
 
         run.__name__ = fn.__name__
