@@ -63,6 +63,18 @@ def weather_columns(h: Horizon) -> list[str]:
         "HDD_x_dayoff", "CDD_x_dayoff"]
 
 
+#: The prefixes that place a predictor in the load or calendar block; others are weather.
+BLOCK_PREFIXES = {"LOAD": ("lag", "roll", "diff"), "CAL": ("sin", "cos", "is_", "hol", "pre_", "post_", "bridge")}
+
+
+def feature_block(name: Column) -> Column:
+    """H8: the block (LOAD, CAL or WX) of a predictor's name, by its prefix."""
+    out = F.lit("WX")
+    for block, prefixes in reversed(BLOCK_PREFIXES.items()):
+        out = F.when(name.rlike("^(" + "|".join(prefixes) + ")"), F.lit(block)).otherwise(out)
+    return out
+
+
 def feature_columns(h: Horizon) -> list[str]:
     cal = [f"{f}{k}h{s}" for k in (1, 2, 3) for f in ("sin", "cos") for s in ("", "_workday")]
     cal += ["sindow", "cosdow", "sin_doy", "cos_doy", "is_day_off", *h.holidays]

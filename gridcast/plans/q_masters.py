@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import days_off_from_dates
 from ..session import cut_lineage
+from ..operators.aggregates import standardize
 from .features import SUPPLY_FLAGS, SUPPLY_WEATHER, supply_features
 from .masters import day_ahead_master, supply_master, week_ahead_master
 from .q_joins import SQL_HOLIDAYS
@@ -137,7 +138,22 @@ def q_day_ahead(spark, sf_dir):
     return day_ahead_master(load, fc, wx, days_off_from_dates(spark, dates), cut=CUT, weather_cols=WX_MASTER)
 
 
-@query("i28_week_ahead_master")
+_WA_SQL = f"""
+WITH load AS (SELECT date_trunc('hour', ts) AS ts, sum(value) AS load FROM events GROUP BY 1),
+wx AS (SELECT date_trunc('hour', ts) AS ts, {", ".join(f"{e} AS {n}" for e, n in zip(_WX_SQL[:3] + _WX_SQL[4:], WX_MASTER))}
+       FROM events GROUP BY 1),
+b AS (SELECT greatest((SELECT min(ts) FROM load), (SELECT min(ts) FROM wx)) AS s,
+             least((SELECT max(ts) FROM load), (SELECT max(ts) FROM wx)) AS e),
+g AS (SELECT unnest(generate_series(s, e, INTERVAL 1 HOUR)) AS ts FROM b),
+dates AS (SELECT DISTINCT CAST((ts AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Sofia' AS DATE) AS d FROM load),
+{SQL_HOLIDAYS.strip()}
+SELECT g.ts, load.load AS load_actual_mw, wx.* EXCLUDE (ts), CASE WHEN off.d IS NOT NULL THEN 1 ELSE 0 END AS is_day_off
+FROM g LEFT JOIN load USING (ts) LEFT JOIN wx USING (ts)
+LEFT JOIN off ON off.d = CAST((g.ts AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Sofia' AS DATE)
+WHERE g.ts >= TIMESTAMP '{CUT}' AND load.load IS NOT NULL"""
+
+
+@query("i28_week_ahead_master", _WA_SQL, doubles=["load_actual_mw", *WX_MASTER], ints=["is_day_off"])
 def q_week_ahead(spark, sf_dir):
     """Week-ahead master — weather actuals in naive UTC+3 localised, common grid."""
     t = Tables(spark, sf_dir)
@@ -153,3 +169,16 @@ def q_supply_models(spark, sf_dir):
     and naive on the standardised supply features; MSE, RMSE, MAE, MAPE of the last third."""
     f = supply_features(_supply(spark, sf_dir))
     return supply_models(f, "ts", "supply", SUPPLY_WEATHER + SUPPLY_FLAGS, SPLIT)
+
+
+@query("d10_standardize_supply", f"""
+WITH s AS ({_SUPPLY_SQL}),
+f AS (SELECT ts, supply, {", ".join(SUPPLY_WEATHER + SUPPLY_FLAGS)} FROM s
+      WHERE {" AND ".join(f"{c} IS NOT NULL" for c in SUPPLY_WEATHER + SUPPLY_FLAGS)})
+SELECT ts, {", ".join(f"(c0 - avg(c0) OVER ()) / stddev_samp(c0) OVER () AS c0".replace("c0", c) for c in ["supply", *SUPPLY_WEATHER])},
+       {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in SUPPLY_FLAGS)} FROM f""",
+       doubles=["supply", *SUPPLY_WEATHER, *SUPPLY_FLAGS])
+def q_standardize_supply(spark, sf_dir):
+    """Supply features as z-scores with the sample deviation (ddof 1); 0/1 columns stay."""
+    f = supply_features(_supply(spark, sf_dir))
+    return standardize(f, ["supply", *SUPPLY_WEATHER, *SUPPLY_FLAGS], ddof=1, keep_dummies=True)

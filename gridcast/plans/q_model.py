@@ -9,7 +9,7 @@ from ..operators.aggregates import correlations, interval_quality
 from ..operators.windows import Lookback, lag_columns, lookback_features, with_position
 from ..session import cut_lineage
 from .evaluate import linear_ramp, mondrian_widths
-from .features import HORIZONS, build_features, feature_columns, features_sql
+from .features import HORIZONS, build_features, feature_block, feature_columns, features_sql
 from .folds import chronological_split, fold_row_counts, fold_table, rows_in_folds
 from .inputs import SQL_ORDER_DAILY, order_daily
 from .linear import CD_GAP, gram_table, learning_curve_windows, predict, walk_forward_linear
@@ -261,6 +261,23 @@ for _h in HORIZONS:
     _feature_query(_h)
 
 
+_H8_COLS = feature_columns(HORIZONS["1d"])
+_H8_SQL = features_sql(HORIZONS["1d"], _LOAD_SQL, _MASTER_SQL, f"WITH {_FEAT_DATES}, {SQL_HOLIDAYS}")
+
+
+@query("h8_feature_blocks", f"""
+WITH t AS ({_H8_SQL}),
+c AS (SELECT {", ".join(f"count({c}) AS {c}" for c in _H8_COLS)} FROM t)
+SELECT feature, CASE WHEN regexp_matches(feature, '^(lag|roll|diff)') THEN 'LOAD'
+    WHEN regexp_matches(feature, '^(sin|cos|is_|hol|pre_|post_|bridge)') THEN 'CAL' ELSE 'WX' END AS block, n
+FROM (UNPIVOT c ON {", ".join(_H8_COLS)} INTO NAME feature VALUE n)""")
+def q_blocks(spark, sf_dir):
+    """H8: the block of each day-ahead predictor by its prefix, and how many rows have it."""
+    f = build_features(HORIZONS["1d"], *hourly_inputs(spark, Tables(spark, sf_dir)))
+    counts = f.agg(*[F.count(c).alias(c) for c in _H8_COLS]).unpivot([], _H8_COLS, "feature", "n")
+    return counts.select("feature", feature_block(F.col("feature")).alias("block"), "n")
+
+
 # --- I6 / I7 / I12: trees (MLlib), significant-feature matrix ------------------------------
 
 @query("i6_boosted_trees_walk_forward")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.timefns import local_fields, localize_fixed_offset, parse_instant
-from ..operators.timegrid import (align_to_grid, completeness, dedupe, drop_empty_columns_fill_zero,
+from ..operators.timegrid import (resample, align_to_grid, completeness, dedupe, drop_empty_columns_fill_zero,
                                   dst_audit, explode_grid, fill_on_grid, hourly_grid, null_profile,
                                   priority_stitch, rebuild_comparison, tagged_union, trim, union_chunks)
 from .inputs import EVENT_TYPES, SQL_EVENT_GRID, SQL_EVENT_HOURLY, event_grid, event_hourly
@@ -96,6 +96,18 @@ def q_resample(spark, sf_dir):
     return s
 
 
+@query("b8_on_the_hour", """
+WITH q AS (SELECT event_type AS series_id, time_bucket(INTERVAL 15 MINUTE, ts) AS ts, sum(value) AS value
+           FROM events GROUP BY 1, 2)
+SELECT * FROM q WHERE ts = date_trunc('hour', ts)""", doubles=["value"])
+def q_on_the_hour(spark, sf_dir):
+    """Of a quarter-hour series, the value stamped on the hour itself."""
+    ev = Tables(spark, sf_dir)("events", "event_type", "ts", "value")
+    quarters = (ev.groupBy(F.col("event_type").alias("series_id"), F.window("ts", "15 minutes").start.alias("ts"))
+                .agg(F.sum("value").alias("value")))
+    return resample(quarters, ["series_id"], "ts", ["value"], "hour", "first_on_mark")
+
+
 @query("b9_forward_fill", f"""
 WITH {SQL_EVENT_GRID}
 SELECT series_id, ts, value AS raw, last_value(value IGNORE NULLS) OVER
