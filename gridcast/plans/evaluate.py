@@ -1,8 +1,7 @@
 """Evaluation plans: prediction tables, conformal widths, scores, selection, ramps.
 
 Predictions are long: ``(series…, model, ts, y, yhat)``. Every step is a
-grouped aggregation or a window over a bounded group (a calibration window, a
-local day), never over a whole series.
+grouped aggregation or a window over a bounded group, never over a whole series.
 """
 
 from __future__ import annotations
@@ -35,18 +34,27 @@ def naive_predictions(grid: DataFrame, series: Sequence[str] = ("series_id",), t
 
 
 def conformal_quantile(residuals: DataFrame, group: Sequence[str], r: str = "r", alpha: float = 0.10,
-                       out: str = "q") -> DataFrame:
+                       out: str = "q", slices: int = 256) -> DataFrame:
     """E5: per group the k-th smallest |r| with ``k = min(ceil((m+1)(1−α)), m)``.
 
-    Discrete order statistic (no interpolation). Groups are calibration windows
-    (bounded length), so the ranking window is bounded too.
+    Discrete order statistic (no interpolation), exact. A group of any size is cut into
+    about equal ``slices`` at approximate percentiles; counts per slice tell which one
+    holds rank k, and only that slice's distinct values are put in order.
     """
-    a = residuals.select(*group, F.abs(F.col(r)).alias("_a")).filter(F.col("_a").isNotNull())
-    w = Window.partitionBy(*group).orderBy("_a")
-    m = F.count(F.lit(1)).over(Window.partitionBy(*group))
-    k = F.least(F.ceil((m + 1) * (1 - alpha)), m)
-    ranked = a.select(*group, "_a", F.row_number().over(w).alias("_rn"), k.alias("_k"), m.alias("m"))
-    return ranked.filter(F.col("_rn") == F.col("_k")).select(*group, "m", F.col("_a").alias(out))
+    g = list(group)
+    a = residuals.select(*g, F.abs(F.col(r)).alias("_a")).filter(F.col("_a").isNotNull())
+    marks = F.percentile_approx("_a", [i / slices for i in range(1, slices)], 10 * slices)
+    rank = F.least(F.ceil((F.col("m") + 1) * (1 - alpha)), F.col("m"))
+    cuts = a.groupBy(*g).agg(marks.alias("_cuts"), F.count(F.lit(1)).alias("m")).withColumn("_k", rank)
+    values = (a.groupBy(*g, "_a").agg(F.count(F.lit(1)).alias("_n")).join(cuts, g)
+              .withColumn("_slice", F.size(F.filter("_cuts", lambda c: c < F.col("_a")))).drop("_cuts"))
+    sizes = values.groupBy(*g, "_slice", "m", "_k").agg(F.sum("_n").alias("_size"))  # at most ``slices`` rows a group
+    upto = F.sum("_size").over(Window.partitionBy(*g).orderBy("_slice"))
+    held = (sizes.withColumn("_upto", upto).filter((F.col("_k") <= F.col("_upto")) & (F.col("_k") > F.col("_upto") - F.col("_size")))
+            .select(*g, "_slice", (F.col("_k") - F.col("_upto") + F.col("_size")).alias("_left")))
+    seen = F.sum("_n").over(Window.partitionBy(*g).orderBy("_a"))
+    return (values.join(held, [*g, "_slice"]).withColumn("_seen", seen).filter("_seen >= _left")
+            .groupBy(*g, "m").agg(F.min("_a").alias(out)))
 
 
 def mondrian_widths(residuals: DataFrame, group: Sequence[str], cell: str = "hour", r: str = "r",
