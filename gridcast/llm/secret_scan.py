@@ -3,14 +3,15 @@
 Three patterns give the base spans. Beside them, every other long token near a
 sensitive word is a candidate: it is compressed with a zstandard dictionary made of the
 text around it and of common identifiers. Words, paths and names share substrings with
-that dictionary and cost few bytes; a random string costs about a byte a character and
-is reported as kind ``novel``.
+that dictionary and cost few bytes; what costs about as much as random strings of its
+length and alphabet is reported as kind ``novel``.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+import string
 from collections.abc import Iterator
 from functools import cache
 
@@ -57,16 +58,46 @@ def _settings() -> zstandard.ZstdCompressionParameters:
 
 @cache
 def _frame_bytes() -> int:
-    return len(zstandard.ZstdCompressor(compression_params=_settings()).compress(b"")) + 3
+    return len(zstandard.ZstdCompressor(compression_params=_settings()).compress(b""))
+
+
+def _alphabet(data: bytes) -> bytes:
+    """The smallest usual alphabet of ``data``: digits or letters or both (of hex: a to f), and its other bytes."""
+    used, out, rest = set(data), b"", set(data)
+    for letters in (string.ascii_lowercase.encode(), string.ascii_uppercase.encode()):
+        if own := used & set(letters):
+            out += letters[:6] if own <= set(letters[:6]) else letters
+            rest -= own
+    digits = string.digits.encode()
+    if used & set(digits) or len(out) <= 12:  # never so few symbols that a repeated one passes for random
+        out += digits
+    return out + bytes(sorted(rest - set(digits)))
+
+
+def _random_strings(data: bytes, n: int = 4) -> list[bytes]:
+    """``n`` fixed random strings of the length and alphabet of ``data``."""
+    letters = _alphabet(data)
+    table = bytes(letters[i % len(letters)] for i in range(256))
+    return [hashlib.shake_256(bytes([i])).digest(len(data)).translate(table) for i in range(n)]
 
 
 def novelty(candidate: str, around: str) -> float:
-    """Marginal compressed bytes per byte of ``candidate``, given ``around`` and the identifiers."""
-    primer = (" ".join(IDENTIFIERS) + "\n" + around).encode("utf-8", "replace")
-    primed = zstandard.ZstdCompressionDict(primer, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-    data = candidate.encode("utf-8", "replace")
-    packed = zstandard.ZstdCompressor(dict_data=primed, compression_params=_settings()).compress(data)
-    return max(0, len(packed) - _frame_bytes()) / len(data)
+    """Compressed bytes of ``candidate`` to those of a random string of its length and alphabet, at most 1.
+
+    Both are compressed with ``around`` and the identifiers as the dictionary, so what
+    entropy coding and chance matches save of a limited alphabet counts on both sides.
+    The cheapest of a few random strings is taken. Names in capitals or humps are
+    measured in lower case too, and the lower share counts.
+    """
+    least = 1.0
+    for fold in (str, str.lower):
+        primer = (" ".join(IDENTIFIERS) + "\n" + fold(around)).encode("utf-8", "replace")
+        primed = zstandard.ZstdCompressionDict(primer, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        zstd = zstandard.ZstdCompressor(dict_data=primed, compression_params=_settings())
+        data = fold(candidate).encode("utf-8", "replace")
+        own, *others = (len(zstd.compress(x)) - _frame_bytes() for x in (data, *_random_strings(data)))
+        least = min(least, own / max(1, min(others)))
+    return least
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:

@@ -228,6 +228,24 @@ def test_novelty_tells_random_strings_from_names():
     assert text[s:e] == "Zx81kQpLm2vTn7RwYb40Jd" and secret_scan.KINDS[kind] == "novel"
 
 
+@pytest.mark.parametrize("alphabet", ["0123456789abcdef", "0123456789ABCDEF", string.ascii_uppercase + "234567",
+                                      string.ascii_lowercase + string.digits,
+                                      string.ascii_letters + string.digits + "+/"])
+def test_random_strings_of_any_length_and_alphabet_are_novel(alphabet):
+    rng = random.Random(10)
+    around = "def load_configuration(path):\n    return configuration_parameters[path]\n"
+    for n in (16, 17, 19, 24, 40, 44, 64, 128, 344, 512, 1000, 2000):
+        keys = ["".join(rng.choices(alphabet, k=n)) for _ in range(25)]
+        assert [k for k in keys if secret_scan.novelty(k, around) < 0.85] == [], n
+
+
+def test_repeats_and_names_in_other_cases_are_not_novel():
+    around = "def load_configuration(path):\n    return configuration_parameters[path]\n"
+    for name in ("-" * 16, "=" * 40, "0" * 20, "ab" * 30, "abcdef" * 50, "0123456789" * 8, "x" * 5000,
+                 "CONFIGURATION_PARAMETERS", "LoadConfigurationParameters2", "loadConfiguration" * 20):
+        assert secret_scan.novelty(name, around) < 0.6, name
+
+
 def test_secrets_on_awkward_rows(spark):
     rows = secret_scan.secret_spans(awkward(spark)).collect()
     assert len(rows) == awkward(spark).count() and all(r["spans"] == "" for r in rows)
