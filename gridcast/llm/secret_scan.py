@@ -1,7 +1,7 @@
 """Operator 8: secret scans by patterns and by dictionary-primed compression novelty.
 
-Three patterns give the base spans. Beside them, every other long token near a
-sensitive word is a candidate: it is compressed with a zstandard dictionary made of the
+Three patterns give the base spans. Beside them, every other long token near (before,
+in or after) a sensitive word is a candidate: it is compressed with a zstandard dictionary made of the
 text around it and of common identifiers. Words, paths and names share substrings with
 that dictionary and cost few bytes; what costs about as much as random strings of its
 length and alphabet is reported as kind ``novel``.
@@ -27,7 +27,10 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")  # a run is maximal, so this drops just the short ones
 _LEAST_VALUE, _LEAST_ACCESS = 8, 16
 
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+# '=' parts a name from its value; up to six at the end of a token are padding. LEAST counts the padding.
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_-]{10,}(?:={1,6}(?![A-Za-z0-9+/_=-]))?")
+LEAST = 16
+_IN_NAME = frozenset(string.ascii_letters + string.digits + "+/_-")
 SENSITIVE = re.compile(r"auth|bearer|cert|cookie|credential|crypt|key|login|passphrase|passwd|password|private|pwd|"
                        r"salt|secret|session|signature|token", re.ASCII | re.IGNORECASE)
 #: Identifiers that code around credentials uses; the part of the dictionary that is not the text itself.
@@ -56,11 +59,6 @@ def _settings() -> zstandard.ZstdCompressionParameters:
                                                write_content_size=False, write_checksum=False, write_dict_id=False)
 
 
-@cache
-def _frame_bytes() -> int:
-    return len(zstandard.ZstdCompressor(compression_params=_settings()).compress(b""))
-
-
 def _alphabet(data: bytes) -> bytes:
     """The smallest usual alphabet of ``data``: digits or letters or both (of hex: a to f), and its other bytes."""
     used, out, rest = set(data), b"", set(data)
@@ -86,17 +84,20 @@ def novelty(candidate: str, around: str) -> float:
 
     Both are compressed with ``around`` and the identifiers as the dictionary, so what
     entropy coding and chance matches save of a limited alphabet counts on both sides.
-    The cheapest of a few random strings is taken. Names in capitals or humps are
-    measured in lower case too, and the lower share counts.
+    The cheapest of a few random strings is taken. One identifier stands before each
+    string too and its bytes are taken off, so a short name's matches are not eaten up
+    by the headers of a block that a random string, stored as it is, does without. Names
+    in capitals or humps are measured in lower case too, and the lower share counts.
     """
     least = 1.0
+    known, head = (" ".join(IDENTIFIERS) + "\n").encode(), (IDENTIFIERS[-1] + "\n").encode()
     for fold in (str, str.lower):
-        primer = (" ".join(IDENTIFIERS) + "\n" + fold(around)).encode("utf-8", "replace")
-        primed = zstandard.ZstdCompressionDict(primer, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        primed = zstandard.ZstdCompressionDict(known + fold(around).encode("utf-8", "replace"),
+                                               dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         zstd = zstandard.ZstdCompressor(dict_data=primed, compression_params=_settings())
         data = fold(candidate).encode("utf-8", "replace")
-        own, *others = (len(zstd.compress(x)) - _frame_bytes() for x in (data, *_random_strings(data)))
-        least = min(least, own / max(1, min(others)))
+        nothing, own, *others = (len(zstd.compress(head + x)) for x in (b"", data, *_random_strings(data)))
+        least = min(least, (own - nothing) / max(1, min(others) - nothing))
     return least
 
 
@@ -108,12 +109,23 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out, key=lambda s: (s[0], s[2]))
 
 
+def _name(text: str, s: int) -> str:
+    """The name that a value starting at ``s`` is assigned to by '='; else nothing."""
+    if text[s - 1:s] != "=":
+        return ""
+    e = s = s - 1
+    while s and text[s - 1] in _IN_NAME:
+        s -= 1
+    return text[s:e]
+
+
 def novel_spans(text: str, base: list[tuple[int, int, int]], context: int = 64, around: int = 2048,
                 threshold: float = 0.85) -> list[tuple[int, int, int]]:
-    """Candidates outside the base spans, with a digit, near a sensitive word, that don't compress.
+    """Candidates outside the base spans, near a sensitive word, that don't compress.
 
-    ``context`` code points before a candidate must hold a sensitive word; ``around`` on
-    either side are the surrounding code of its dictionary. Every candidate is measured.
+    A sensitive word must lie in the candidate, in the name that it is assigned to or
+    within ``context`` code points on either side; ``around`` on either side are the
+    surrounding code of its dictionary. Every candidate is measured.
     """
     out, at = [], 0
     ends = sorted((s, e) for s, e, _ in base)
@@ -121,9 +133,9 @@ def novel_spans(text: str, base: list[tuple[int, int, int]], context: int = 64,
         s, e = m.span()
         while at < len(ends) and ends[at][1] <= s:
             at += 1
-        if any(a < e and s < b for a, b in ends[at:at + 3]) or not any(c.isdigit() for c in m[0]):
+        if e - s < LEAST or any(a < e and s < b for a, b in ends[at:at + 3]):
             continue
-        if SENSITIVE.search(text, max(0, s - context), s) is None:
+        if SENSITIVE.search(text, max(0, s - context), e + context) is None and SENSITIVE.search(_name(text, s)) is None:
             continue
         if novelty(m[0], text[max(0, s - around):s] + "\n" + text[e:e + around]) >= threshold:
             out.append((s, e, 3))

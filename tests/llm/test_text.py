@@ -246,6 +246,22 @@ def test_repeats_and_names_in_other_cases_are_not_novel():
         assert secret_scan.novelty(name, around) < 0.6, name
 
 
+@pytest.mark.parametrize("text, secret", [
+    ("AUTH_KEY=Zk81mQpX72LsVt0Rb9Yd", "Zk81mQpX72LsVt0Rb9Yd"),
+    ("export AWS_SESSION='Zk81mQpX72LsVt0Rb9Yd'", "Zk81mQpX72LsVt0Rb9Yd"),
+    ("PRIVATE_KEY=Zk81mQpX72LsVt0Rb9YdaQ==\n", "Zk81mQpX72LsVt0Rb9YdaQ=="),
+    ("http://x.org/a?signature=Zk81mQpX72LsVt0Rb9Yd&b=1", "Zk81mQpX72LsVt0Rb9Yd"),
+    ("SESSION_" + "LEVEL_" * 20 + "X=Zk81mQpX72LsVt0Rb9Yd", "Zk81mQpX72LsVt0Rb9Yd"),
+    ("Zk81mQpX72LsVt0Rb9Yd is the password", "Zk81mQpX72LsVt0Rb9Yd"),
+    ("session-Zk81mQpX72LsVt0Rb9YdWq", "session-Zk81mQpX72LsVt0Rb9YdWq"),
+    ("Bearer qXvJkWzTnRbYpLmCdHsG", "qXvJkWzTnRbYpLmCdHsG"),
+    ("the Zk81mQpX72LsVt0Rb9Yd is plain", None),
+    ("Zk81mQpX72LsVt0Rb9Yd" + " x" * 40 + " password", None),
+    ("login: administration_responsibility, DATABASE_CONNECTION_URL=none", None)])
+def test_candidates_are_values_with_a_word_on_any_side(text, secret):
+    assert [text[s:e] for s, e, _ in secret_scan.novel_spans(text, secret_scan.base_spans(text))] == ([secret] if secret else [])
+
+
 def test_secrets_on_awkward_rows(spark):
     rows = secret_scan.secret_spans(awkward(spark)).collect()
     assert len(rows) == awkward(spark).count() and all(r["spans"] == "" for r in rows)
