@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..sources.manifest import dataset_manifest, split_at_years
+from ..sources.manifest import dataset_manifest, split_at_years, split_rolling_years
 from ..sources.parsing import (coerce_double, decode_product_code, encode_product_code, extract_list_items,
                                json_arrays_to_rows, locale_double)
 from ..sources.readers import read_dataset
@@ -124,6 +124,22 @@ SELECT l_orderkey, l_linenumber, greatest(start, make_timestamp(yr, 1, 1, 0, 0,
        least("end", make_timestamp(yr, 12, 31, 0, 0, 0)) AS chunk_end
 FROM y""")
 def q_year_split(spark, sf_dir):
-    """Cut each interval at calendar-year boundaries (closed pieces)."""
+    """Cut each interval of dates at calendar-year boundaries (closed pieces)."""
     i = order_intervals(Tables(spark, sf_dir)).filter(F.col("end") > F.col("start"))
-    return i.select("l_orderkey", "l_linenumber", F.inline(split_at_years(F.col("start"), F.col("end"))))
+    return i.select("l_orderkey", "l_linenumber",
+                    F.inline(split_at_years(F.col("start"), F.col("end"), whole_days=True)))
+
+
+@query("a11_rolling_years", """
+WITH i AS (SELECT o_custkey, CAST(min(o_orderdate) AS TIMESTAMP) AS start, CAST(max(o_orderdate) AS TIMESTAMP) AS "end"
+           FROM orders GROUP BY 1),
+k AS (SELECT *, unnest(range(year("end") - year(start) + 1)) AS k FROM i),
+c AS (SELECT o_custkey, "end", CASE WHEN k = 0 THEN start ELSE start + INTERVAL 1 YEAR + to_years(CAST(k - 1 AS INTEGER)) END
+             AS chunk_start FROM k)
+SELECT o_custkey, chunk_start, least(chunk_start + INTERVAL 1 YEAR, "end") AS chunk_end FROM c WHERE chunk_start < "end\"""")
+def q_rolling_years(spark, sf_dir):
+    """Cut each customer's time from first to last order into half-open pieces of at most a year."""
+    o = Tables(spark, sf_dir)("orders", "o_custkey", "o_orderdate")
+    ts = F.col("o_orderdate").cast("timestamp")
+    i = o.groupBy("o_custkey").agg(F.min(ts).alias("start"), F.max(ts).alias("end"))
+    return i.select("o_custkey", F.inline(split_rolling_years(F.col("start"), F.col("end"))))

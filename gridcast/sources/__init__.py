@@ -4,11 +4,12 @@ from .readers import (canonical_timestamps, load_table, newest_snapshot, prefer_
                       read_dataset, write_table)
 from .parsing import (coerce_double, decode_product_code, encode_product_code,
                       extract_list_items, json_arrays_to_rows, locale_double)
-from .manifest import dataset_manifest, split_at_years
+from .manifest import dataset_manifest, split_at_years, split_rolling_years
 
 __all__ = [
     "canonical_timestamps", "load_table", "newest_snapshot", "prefer_source", "read_dataset",
     "write_table", "coerce_double", "decode_product_code", "encode_product_code",
     "extract_list_items", "json_arrays_to_rows", "locale_double", "dataset_manifest",
     "split_at_years",
+    "split_rolling_years",
 ]
