@@ -8,10 +8,14 @@ hit's diagonal, and the longest stretch with enough equal tokens decides.
 Document hashes are not shuffled: a bit table of the benchmark's hashes, of bounded
 size whatever the benchmark's, lets a window through only if its two bits are set, and
 only what passes is joined. A fuller table lets more through but loses nothing.
+
+Items too short for that are searched by their whole token sequence. Scripts that are
+written without blanks have each character as a token.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,9 +33,22 @@ _PART = 256
 _ODD = mix(np.arange(1, 65, dtype=np.uint64)) | np.uint64(1)
 
 
-def window_hashes(h: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+# Thai, Lao, Myanmar, Tai Le to Khmer; radicals, kana, bopomofo; ideographs with their extensions
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u1950-\u19ff\u1a20-\u1aaf\ua9e0-\ua9ff\uaa60-\uaa7f\uaa80-\uaadf"
+                       "\u2e80-\u2fdf\u3005-\u3007\u3021-\u3029\u3040-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf\u4e00-\u9fff"
+                       "\uf900-\ufaff\uff66-\uff9f\U0001b000-\U0001b16f\U00020000-\U0003ffff]")
+
+
+def spaced(text: str | None) -> str:
+    """``text`` with blanks around each character of a script that is written without them."""
+    text = text or ""
+    return text if text.isascii() else _UNSPACED.sub(r" \g<0> ", text)
+
+
+def window_hashes(h: np.ndarray, ends: np.ndarray, masks: tuple[str, ...] = MASKS
+                  ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """For each mask: (first token of each window, its hash). ``ends``: of each token's text."""
-    for n, mask in enumerate(MASKS):
+    for n, mask in enumerate(masks):
         span = len(mask)
         size = len(h) - span + 1
         if size <= 0:
@@ -58,7 +75,7 @@ def _item_hashes(items: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             item = b.column(0).to_numpy(zero_copy_only=False)
-            for first, sizes, (h,) in token_hashes(b.column(1).to_pylist()):
+            for first, sizes, (h,) in token_hashes([spaced(t) for t in b.column(1).to_pylist()]):
                 upto = np.cumsum(sizes)
                 doc, start = np.repeat(np.arange(len(sizes)), sizes), np.repeat(upto - sizes, sizes)
                 for at, found in window_hashes(h, np.repeat(upto, sizes)):
@@ -103,7 +120,7 @@ def _stretches(docs: DataFrame, bits: int, table: np.ndarray, around: int) -> Da
     shared = docs.sparkSession.sparkContext.broadcast(table)
     longest = max(map(len, MASKS))
 
-    def passed(texts: list[str | None]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    def passed(texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         for first, sizes, (h,) in token_hashes(texts):
             upto = np.cumsum(sizes)
             ends, at, got = np.repeat(upto, sizes), [], []
@@ -125,7 +142,7 @@ def _stretches(docs: DataFrame, bits: int, table: np.ndarray, around: int) -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column(3).to_pylist()
+            texts = [spaced(t) for t in b.column(3).to_pylist()]
             place, base, tokens, spots, hashes = [], [], [], [], []
             for i, at, got in passed(texts):
                 words = plain(texts[i]).split()
@@ -151,6 +168,70 @@ def _stretches(docs: DataFrame, bits: int, table: np.ndarray, around: int) -> Da
                              "at array<array<int>>, h array<long>"))
 
 
+def _whole_hashes(items: DataFrame, lengths: list[int]) -> DataFrame:
+    """``h`` of the whole token sequence of every item; ``items`` have as many tokens as one of ``lengths``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for _, sizes, (h,) in token_hashes([spaced(t) for t in b.column(0).to_pylist()]):
+                ends = np.repeat(np.cumsum(sizes), sizes)
+                for k in lengths:
+                    for at, found in window_hashes(h, ends, ("1" * k,)):
+                        whole = found[np.repeat(sizes, sizes)[at] == k]
+                        yield pa.RecordBatch.from_arrays([pa.array(whole.view(np.int64))], ["h"])
+
+    return items.select("text").mapInArrow(run, "h long")
+
+
+def _exact(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The result rows of items that stand in a document token for token; each item's first place."""
+    lengths = sorted(r[0] for r in items.select(F.size("words")).distinct().collect())
+    whole = _whole_hashes(items, lengths)
+    bits, table = _bit_table(whole, whole.count())
+    shared = docs.sparkSession.sparkContext.broadcast(table)
+    id_type = docs.schema["doc_id"].dataType.simpleString()
+
+    def first_places(texts: list[str]) -> Iterator[tuple[int, int, int]]:
+        for first, sizes, (h,) in token_hashes(texts):
+            upto = np.cumsum(sizes)
+            ends = np.repeat(upto, sizes)
+            for k in lengths:
+                for at, found in window_hashes(h, ends, ("1" * k,)):
+                    one, two = _spot(found, bits)
+                    hit = np.flatnonzero(_set(shared.value, one))
+                    hit = hit[_set(shared.value, two[hit])]
+                    at, found = at[hit], found[hit]
+                    doc = np.searchsorted(upto, at, side="right")
+                    order = np.lexsort((at, found, doc))
+                    new = np.ones(len(order), dtype=bool)
+                    new[1:] = (np.diff(doc[order]) != 0) | (np.diff(found[order]) != 0)
+                    for i in order[new].tolist():
+                        yield first + int(doc[i]), int(at[i] - upto[doc[i]] + sizes[doc[i]]), k
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = [spaced(t) for t in b.column(2).to_pylist()]
+            split, found = {}, sorted(first_places(texts))
+            place, start, words = [], [], []
+            for i, at, k in found:
+                if i not in split:
+                    split = {i: plain(texts[i]).split()}
+                place.append(i)
+                start.append(at)
+                words.append(split[i][at:at + k])
+            if place:
+                idx = pa.array(place)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).take(idx), b.column(1).take(idx), pa.array(start, pa.int32()),
+                     pa.array(words, pa.list_(pa.binary()))], ["doc_id", "text_key", "start", "words"])
+
+    hits = (docs.select("doc_id", text_key().alias("text_key"), "text")
+            .mapInArrow(run, f"doc_id {id_type}, text_key long, start int, words array<binary>"))
+    size = F.size("words")
+    return hits.join(items.select("item_id", "words"), "words").select(
+        "doc_id", "text_key", "item_id", "start", size.alias("overlap"), size.alias("matches"), size.alias("item_tokens"))
+
+
 def longest_stretch(equal: np.ndarray, identity: float) -> tuple[int, int]:
     """(start, length) of the longest run of positions whose share of ones is at least ``identity``."""
     total = np.concatenate(([0], np.cumsum(equal.astype(np.int64) * 1000 - round(identity * 1000))))
@@ -205,8 +286,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, identity: float = 0.8, m
     An overlap is an ungapped stretch of at least ``min_tokens`` tokens (or the whole of
     a shorter item) of which a share of ``identity`` or more are equal; the longest one
     is given, as far as it lies within ``around`` tokens of a stretch of hits. Tokens are lower-cased and without
-    ASCII punctuation. Items of fewer than ``shortest_item`` tokens are no evidence and
-    are left out. Null and empty texts on either side match nothing; a null doc_id is
+    ASCII punctuation; characters of scripts without blanks are tokens of their own. Items
+    of fewer than ``shortest_item`` tokens count where all their tokens stand in a row,
+    without substitutions; the first place is given. Null and empty texts on either side match nothing; a null doc_id is
     carried; repeated rows are each reported. Empty tables give no rows.
     """
     items = benchmark.select(F.monotonically_increasing_id().alias("item"), "item_id", "text")
@@ -215,12 +297,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, identity: float = 0.8, m
         for b in batches:
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), b.column(1), b.column(2),
-                 pa.array([plain(t).split() for t in b.column(2).to_pylist()], pa.list_(pa.binary()))],
+                 pa.array([plain(spaced(t)).split() for t in b.column(2).to_pylist()], pa.list_(pa.binary()))],
                 ["item", "item_id", "text", "words"])
 
     item_type = benchmark.schema["item_id"].dataType.simpleString()
     items = saved(items.mapInArrow(split, f"item long, item_id {item_type}, text string, words array<binary>")
-                  .where(F.size("words") >= shortest_item))
+                  .where(F.size("words") > 0))
+    short, items = items.where(F.size("words") < shortest_item), items.where(F.size("words") >= shortest_item)
     test = saved(_item_hashes(items))
     bits, table = _bit_table(test, test.count())
     found = saved(_stretches(docs, bits, table, around))
@@ -236,6 +319,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, identity: float = 0.8, m
     best = checked.groupBy("row", "item").agg(
         F.max(F.struct("length", "same", "start", "item_tokens")).alias("b"))
     names = found.select("row", "doc_id", "text_key").distinct()
-    return (best.join(names, "row").join(items.select("item", "item_id"), "item").select(
+    near = best.join(names, "row").join(items.select("item", "item_id"), "item").select(
         "doc_id", "text_key", "item_id", (-F.col("b.start")).alias("start"), F.col("b.length").alias("overlap"),
-        F.col("b.same").alias("matches"), F.col("b.item_tokens").alias("item_tokens")))
+        F.col("b.same").alias("matches"), F.col("b.item_tokens").alias("item_tokens"))
+    return near if short.isEmpty() else near.unionByName(_exact(docs, short))

@@ -139,6 +139,36 @@ def test_decontamination_on_awkward_rows(spark):
     assert decontam.contaminated(awkward(spark), bench.limit(0)).count() == 0
 
 
+def test_short_items_are_found_token_for_token(spark):
+    items = ["Paris, France", "42", "what is the capital of france", "one two one", "42", "never seen here", "a b c d e f g"]
+    docs = ["he said: What is the capital of France? paris france", "answer 42 or 42", "one two two one", "one two one two one",
+            "142", "a b c d e x g", None, "", "42", "a b c d e f g h", "capital of france"]
+    bench = spark.createDataFrame([(i, t, "x") for i, t in enumerate([*items, " .", None])], BENCH)
+    rows = documents(spark, [*enumerate(docs), (1, docs[1]), (None, "x 42")])
+    got = sorted((-1 if r["doc_id"] is None else r["doc_id"], r["item_id"], r["start"], r["overlap"], r["matches"], r["item_tokens"])
+                 for r in decontam.contaminated(rows, bench).collect())
+    want = []
+    for d, text in [*enumerate(docs), (1, docs[1]), (-1, "x 42")]:
+        w = hashing.plain(text).split()
+        for i, item in enumerate(items):
+            t = hashing.plain(item).split()
+            places = [p for p in range(len(w) - len(t) + 1) if w[p:p + len(t)] == t]
+            if places:
+                want.append((d, i, places[0], *[len(t)] * 3))
+    assert got == sorted(want) and len(got) > 10
+
+
+def test_scripts_without_blanks_have_character_tokens(spark):
+    chinese = "北京是中华人民共和国的首都和直辖市之一"
+    japanese = "これはとてもながいもんだいぶんです"
+    thai = "กรุงเทพมหานครเป็นเมืองหลวงของประเทศไทย"
+    bench = spark.createDataFrame([(0, chinese, "x"), (1, japanese, "x"), (2, thai, "x"), (3, "東京都", "x")], BENCH)
+    docs = ["前文" + chinese + "后文", "x" + japanese[:8] + "ぬ" + japanese[9:] + "。", "ก่อน " + thai, "大東京都民", "東京の都", "한국어 문장"]
+    got = {(r["doc_id"], r["item_id"]): (r["start"], r["overlap"])
+           for r in decontam.contaminated(documents(spark, list(enumerate(docs))), bench).collect()}
+    assert got == {(0, 0): (2, len(chinese)), (1, 1): (1, len(japanese)), (2, 2): (4, len(thai)), (3, 3): (1, 3)}
+
+
 # --- languages --------------------------------------------------------------------
 
 def test_ngrams_and_ranks_follow_the_definition():
