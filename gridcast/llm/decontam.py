@@ -249,10 +249,28 @@ def longest_stretch(equal: np.ndarray, identity: float) -> tuple[int, int]:
     return best
 
 
-def _verify(identity: float, min_tokens: int):
-    """Of each (stretch, item): the longest overlap on any diagonal that a seed hit."""
+#: A longest overlap, or (``equal`` is not null) the tokens that agree from ``start`` on in a piece of a diagonal.
+_CHECKED = "row long, item long, length int, same int, start int, item_tokens int, shift int, equal binary"
 
-    def best(base: int, tokens: list[bytes], item: list[bytes], seeds: list[dict]) -> tuple[int, int, int]:
+
+def _checked(rows: list[tuple], row: pa.Array, item: pa.Array) -> pa.RecordBatch:
+    """``rows`` of (place in ``row`` and ``item``, the other columns of _CHECKED)."""
+    place, *columns = zip(*rows) if rows else [()] * 7
+    idx = pa.array(place, pa.int64())
+    types = [pa.int32()] * 5 + [pa.binary()]
+    return pa.RecordBatch.from_arrays(
+        [row.take(idx), item.take(idx), *(pa.array(c, t) for c, t in zip(columns, types, strict=True))],
+        ["row", "item", "length", "same", "start", "item_tokens", "shift", "equal"])
+
+
+def _verify(identity: float, min_tokens: int, around: int):
+    """Of each (stretch, item): the longest overlap on any diagonal that a seed hit.
+
+    Where the stretch may end before the diagonal of an item of more than ``around`` tokens
+    does, its piece of the diagonal is passed on to :func:`_merge`.
+    """
+
+    def best(base: int, tokens: list[bytes], item: list[bytes], seeds: list[dict]) -> Iterator[tuple]:
         number = {w: i for i, w in enumerate(set(item))}
         x = np.array([number.get(w, -1) for w in tokens])
         y = np.array([number[w] for w in item])
@@ -262,18 +280,48 @@ def _verify(identity: float, min_tokens: int):
             if hi <= lo:
                 continue
             equal = x[lo - base:hi - base] == y[lo - shift:hi - shift]
+            if len(y) > around and (lo > max(0, shift) or hi < shift + len(y)):
+                yield 0, 0, int(lo), len(y), int(shift), equal.tobytes()
+                continue
             start, length = longest_stretch(equal, identity)
             found = max(found, (length, int(equal[start:start + length].sum()), -int(lo + start)))
-        return found
+        if found[0] >= min(min_tokens, len(y)):
+            yield *found, len(y), None, None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = zip(*(b.column(i).to_pylist() for i in (2, 3, 4, 5)), strict=True)
+            yield _checked([(i, *found) for i, r in enumerate(rows) for found in best(*r)], b.column(0), b.column(1))
+
+    return run
+
+
+def _merge(identity: float, min_tokens: int):
+    """Of each (row, item, diagonal): the longest overlap in its pieces, joined where they meet."""
+
+    def joined(pieces: list[dict]) -> Iterator[tuple[int, np.ndarray]]:
+        held, first, end = [], 0, -1
+        for piece in sorted(pieces, key=lambda p: p["start"]):
+            lo, equal = piece["start"], np.frombuffer(piece["equal"], dtype=bool)
+            if lo > end:
+                if held:
+                    yield first, np.concatenate(held)
+                held, first, end = [], lo, lo
+            held.append(equal[end - lo:])
+            end = max(end, lo + len(equal))
+        yield first, np.concatenate(held)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [(*best(*r), len(r[2])) for r in zip(*(b.column(i).to_pylist() for i in (2, 3, 4, 5)), strict=True)]
-            length, same, start, size = np.array(found, dtype=np.int32).reshape(-1, 4).T
-            out = pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), *(pa.array(np.ascontiguousarray(c)) for c in (length, same, start, size))],
-                ["row", "item", "length", "same", "start", "item_tokens"])
-            yield out.filter(pa.array(length >= np.minimum(min_tokens, size)))
+            rows = []
+            for i, (size, pieces) in enumerate(zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)):
+                found = (0, 0, 0)
+                for lo, equal in joined(pieces):
+                    start, length = longest_stretch(equal, identity)
+                    found = max(found, (length, int(equal[start:start + length].sum()), -(lo + start)))
+                if found[0] >= min(min_tokens, size):
+                    rows.append((i, *found, size, None, None))
+            yield _checked(rows, b.column(0), b.column(1))
 
     return run
 
@@ -285,7 +333,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, identity: float = 0.8, m
 
     An overlap is an ungapped stretch of at least ``min_tokens`` tokens (or the whole of
     a shorter item) of which a share of ``identity`` or more are equal; the longest one
-    is given, as far as it lies within ``around`` tokens of a stretch of hits. Tokens are lower-cased and without
+    is given, as far as it lies within ``around`` tokens of the stretches with hits on its
+    diagonal, which are joined where they meet. Tokens are lower-cased and without
     ASCII punctuation; characters of scripts without blanks are tokens of their own. Items
     of fewer than ``shortest_item`` tokens count where all their tokens stand in a row,
     without substitutions; the first place is given. Null and empty texts on either side match nothing; a null doc_id is
@@ -314,8 +363,13 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, identity: float = 0.8, m
              .agg(F.collect_list(F.struct("doc_at", "item_at")).alias("seeds")))
     pairs = (seeds.join(found.select("row", "base", "tokens"), ["row", "base"])
              .join(items.select("item", "words"), "item").select("row", "item", "base", "tokens", "words", "seeds"))
-    checked = pairs.mapInArrow(_verify(identity, min_tokens),
-                               "row long, item long, length int, same int, start int, item_tokens int")
+    checked = pairs.mapInArrow(_verify(identity, min_tokens, around), _CHECKED)
+    if not items.where(F.size("words") > around).isEmpty():  # up to that, a stretch with a hit holds the whole item
+        checked = saved(checked)
+        pieces = (checked.where("equal is not null").groupBy("row", "item", "shift", "item_tokens")
+                  .agg(F.collect_list(F.struct("start", "equal")).alias("pieces"))
+                  .select("row", "item", "item_tokens", "pieces"))
+        checked = checked.where("equal is null").unionByName(pieces.mapInArrow(_merge(identity, min_tokens), _CHECKED))
     best = checked.groupBy("row", "item").agg(
         F.max(F.struct("length", "same", "start", "item_tokens")).alias("b"))
     names = found.select("row", "doc_id", "text_key").distinct()

@@ -158,6 +158,30 @@ def test_short_items_are_found_token_for_token(spark):
     assert got == sorted(want) and len(got) > 10
 
 
+def test_long_items_copied_whole_are_one_overlap(spark):
+    rng = random.Random(11)
+    items = [_words(rng, n) for n in (900, 400, 70)] + [["long", "again"] * 200]
+    noisy = [x if i % 11 else "zz" for i, x in enumerate(items[0])]
+    docs = [_words(rng, 700) + items[0] + _words(rng, 30), noisy, items[1][150:], items[0][:500] + _words(rng, 40) + items[0][540:],
+            _words(rng, 80) + items[2], ["x"] + ["long", "again"] * 400, items[1][:300] + items[1][310:]]
+    bench = spark.createDataFrame([(i, " ".join(t), "x") for i, t in enumerate(items)], BENCH)
+    got = {(r["doc_id"], r["item_id"]): (r["overlap"], r["matches"], r["start"])
+           for r in decontam.contaminated(documents(spark, [(i, " ".join(w)) for i, w in enumerate(docs)]), bench).collect()}
+    want = {}
+    for d, w in enumerate(docs):
+        for i, item in enumerate(items):
+            best = (0, 0, 0)
+            for shift in range(-len(item), len(w)):
+                lo, hi = max(0, shift), min(len(w), shift + len(item))
+                e = np.array([w[p] == item[p - shift] for p in range(lo, hi)], dtype=bool)
+                if e.sum() >= 11:
+                    start, n = decontam.longest_stretch(e, 0.8)
+                    best = max(best, (n, int(e[start:start + n].sum()), -(lo + start)))
+            if best[0] >= 13:
+                want[d, i] = (best[0], best[1], -best[2])
+    assert got == want and got[0, 0] == (900, 900, 700) and got[1, 0][0] >= 899 and got[5, 3][0] == 400
+
+
 def test_scripts_without_blanks_have_character_tokens(spark):
     chinese = "北京是中华人民共和国的首都和直辖市之一"
     japanese = "これはとてもながいもんだいぶんです"
