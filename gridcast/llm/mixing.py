@@ -2,9 +2,11 @@
 
 Each source is a queue of its documents in shuffled order, served in proportion to its
 target. A document copy finishes at virtual time (tokens of its source up to its end)
-/ (target of its source). All sources reach their targets at virtual time 1, which is
-where the total budget ends: copies are sorted globally by virtual time and cut there,
-and a document that lies across the line is taken up to it.
+/ (target of its source). Sorted globally by virtual time and cut at the budget, the mix
+would hold the copies up to virtual time 1, where all sources reach their targets and the
+total budget ends, and a document that lies across the line up to it. :func:`fair_mix`
+takes that cut in closed form, a prefix of each source up to its rounded target, and
+leaves the sort out; :func:`in_mix_order` sorts what is taken where the order matters.
 """
 
 from __future__ import annotations

@@ -175,6 +175,21 @@ def test_the_mix_reaches_its_targets(spark, cells):
     assert finish == sorted(finish) and len(order) == sum(r["taken"] > 0 for r in got)
 
 
+def test_the_closed_form_is_the_cut_of_the_global_sort(spark):
+    rng = random.Random(12)
+    rows = [(i, "w " * rng.randint(0, 9), rng.choice("abcd")) for i in range(120)]
+    docs = documents(spark, rows).withColumn("size", mixing.word_count())
+    mixed = mixing.fair_mix(docs).collect()
+    copies = sorted(((r["before"] + r["source_size"] * e + r["size"]) / r["target"], r["doc_id"],
+                     (r["before"] + r["source_size"] * e) / r["target"], r["size"], r["target"])
+                    for r in mixed for e in range(3) if r["size"])
+    taken = dict.fromkeys((r["doc_id"] for r in mixed), 0.0)
+    for end, doc, begin, size, target in copies:
+        taken[doc] += size if end <= 1 else max(0, 1 - begin) * target  # a copy across time 1 up to it
+    assert all(abs(r["taken"] - taken[r["doc_id"]]) <= 0.5 + 1e-6 for r in mixed)
+    assert abs(sum(r["taken"] for r in mixed) - sum(r["size"] for r in mixed)) <= 2
+
+
 def test_mixing_awkward_rows(spark):
     docs = awkward(spark).withColumn("size", mixing.word_count())
     got = mixing.fair_mix(docs).collect()
