@@ -19,18 +19,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def saved_folder(spark: SparkSession) -> str:
+    """A new place in the shared folder; what is written there goes when the driver's JVM ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
+
+
 def saved(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it from there.
 
     Later steps then read the same rows however often they run and whichever
-    executor is lost; the folder goes when the driver's JVM ends.
+    executor is lost.
     """
-    spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
+    path = saved_folder(df.sparkSession)
     df.write.parquet(path)
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def text_key(text: str = "text") -> Column:

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_utc
-from . import chat, decontam, exact_dedup, lang_id, mixing, quality, secret_scan, simhash, token_count, toxicity
+from . import (chat, decontam, exact_dedup, fim, lang_id, mixing, phrases, quality, secret_scan, simhash, token_count,
+               token_files, toxicity)
 from .common import fold, saved, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -147,3 +148,61 @@ SELECT doc_id, size, source_size, target,
 def op10(spark, sf_dir):
     sized = saved(table(spark, sf_dir, "documents").select("doc_id", "source", mixing.word_count().alias("size")))
     return mixing.fair_mix(sized).select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query("op11_token_files")
+def op11(spark, sf_dir):
+    folder = token_files.token_files(table(spark, sf_dir, "documents"), token_files.load_tokenizer())
+    return token_files.read_token_files(spark, folder)
+
+
+@query("op12_fill_in_middle", sql=r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units,
+    sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+c AS (
+  SELECT *, len(units) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) % (len(units) + 1) AS u1,
+    CAST('0x' || substr(h, 9, 8) AS BIGINT) % (len(units) + 1) AS u2, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM d),
+p AS (
+  SELECT doc_id, text, n, CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') THEN 'plain'
+      WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form,
+    array_to_string(units[1:least(u1, u2)], '') AS pre,
+    array_to_string(units[least(u1, u2) + 1:greatest(u1, u2)], '') AS mid,
+    array_to_string(units[greatest(u1, u2) + 1:], '') AS suf FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+  CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+    ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+  sha256(text) AS restored_sha256 FROM p""")
+def op12(spark, sf_dir):
+    stores = saved(fim.store_texts(table(spark, sf_dir, "documents")))
+    return fim.restore(fim.fill_in_middle(stores)).select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+
+
+@query("op13_phrases", sql=r"""
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM t),
+s AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+g AS (SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, m FROM s, (SELECT unnest([1, 2, 3, 4]) AS m) WHERE i + m - 1 <= len(ws)),
+f AS (SELECT lang, phrase, m, CAST(count(*) AS HUGEINT) AS f FROM g GROUP BY 1, 2, 3 HAVING count(*) >= 30 OR m = 1),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY 1),
+c AS (SELECT lang, phrase, m, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE m >= 2),
+k AS (SELECT *, unnest(range(1, m)) AS k FROM c),
+x AS (
+  SELECT k.lang, k.phrase, k.a, k.k, p.f AS l, q.f AS r, (2000000 * k.a) // (p.f + q.f) AS score FROM k
+  JOIN f p ON p.lang = k.lang AND p.phrase = array_to_string(k.ws[1:k.k], ' ')
+  JOIN f q ON q.lang = k.lang AND q.phrase = array_to_string(k.ws[k.k + 1:], ' ')),
+b AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+o AS (SELECT lang, ws, m, a, unnest(range(2, m)) AS j FROM c WHERE m >= 3),
+e AS (SELECT lang, ws, a, j, unnest(range(1, m - j + 2)) AS i FROM o),
+h AS (SELECT lang, array_to_string(ws[i:i + j - 1], ' ') AS phrase, max(a) AS f FROM e GROUP BY 1, 2),
+v AS (SELECT b.* FROM b LEFT JOIN h ON h.lang = b.lang AND h.phrase = b.phrase WHERE h.f IS NULL OR 100 * h.f < 80 * b.a),
+z AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM v)
+SELECT z.lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, n, CAST(score AS BIGINT) AS score
+FROM z JOIN n ON n.lang = z.lang WHERE rank <= 2000""")
+def op13(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))
