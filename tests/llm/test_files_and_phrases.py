@@ -10,6 +10,7 @@ from collections import Counter
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import zstandard
 from hypothesis import given, settings
@@ -151,13 +152,13 @@ def test_only_cut_frames_are_packed_anew():
 
 
 def test_fim_over_awkward_rows(spark):
-    out = fim.restore(fim.fill_in_middle(fim.store_texts(awkward(spark), 4096))).collect()
+    out = fim.fill_in_middle(fim.store_texts(awkward(spark), 4096)).drop("output").collect()
     want = Counter()
     for r in awkward(spark).select("doc_id", "text").collect():
         *head, output = plain_fim(r["doc_id"], r["text"])
         want[(r["doc_id"], *head, hashlib.sha256(output.encode()).hexdigest(), hashlib.sha256((r["text"] or "").encode()).hexdigest())] += 1
     assert Counter(tuple(o) for o in out) == want
-    assert fim.restore(fim.fill_in_middle(fim.store_texts(empty(spark)))).collect() == []
+    assert fim.fill_in_middle(fim.store_texts(empty(spark))).collect() == []
 
 
 def test_rate_and_share_of_forms():
@@ -197,7 +198,7 @@ def lang_docs(spark, rows):
                                  "doc_id long, text string, lang string, n string, score string")
 
 
-@pytest.mark.parametrize("hot_share", [256, 10**9])
+@pytest.mark.parametrize("hot_share", [256, 1, 10**9])
 def test_phrases_equal_brute_force(spark, monkeypatch, hot_share):
     r = random.Random(5)
     vocab = ["A", "b", "c", "New", "york", "city", "é", "中文", "\x1c", "x y", "of", "the"]
@@ -213,22 +214,28 @@ def test_chunks_of_any_size_count_alike(spark):
     rows = [("en", f"alpha beta gamma delta {i % 3} alpha beta") for i in range(90)]
     want = plain_phrases(rows, 30)
     docs = lang_docs(spark, rows)
+    assert {tuple(x) for x in phrases.collocations(docs).collect()} == want
     for chunk in (1, 200, 1 << 20):
-        found = phrases.windows(docs, 30, chunk)
+        held = phrases.window_blocks(docs, 30, 7, chunk).collect()
         total = Counter()
-        for x in found.collect():
-            total[(x["w1"], x["w2"], x["w3"], x["w4"])] += x["n"]
-        assert sum(total.values()) == 90 * 7 and total["alpha", "beta", "gamma", "delta"] == 90
-    assert {tuple(x) for x in phrases.collocations(docs).collect()} == want
+        for bucket in range(7):
+            own = [(x["kind"], pa.scalar(bytes(x["block"]))) for x in held if x["bucket"] == bucket]
+            for _, *words, n in zip(*phrases.merge_blocks("en", [k for k, _ in own], [b for _, b in own], 30).to_pydict().values()):
+                total[tuple(w for w in words if w)] += n
+        assert total["alpha", "beta", "gamma", "delta"] == 90
+        assert sum(n for k, n in total.items()) == 90 * 7
 
 
-def test_spread_pairs_leave_a_marker(monkeypatch):
+def test_pairs_dealt_out_leave_a_line_at_home():
     text = phrases._marked(" . ".join(f"hot pair w{i} v{i}" for i in range(50)))
-    words, cols, counts, sure, salt = phrases.count_windows(text, 30)
-    spelled = [tuple(words[int(c)].as_py() if c >= 0 else None for c in col) for col in cols.T]
-    assert counts.sum() == 200
-    assert {s[:2] for s, h in zip(spelled, sure) if h} == {("hot", "pair")}
-    assert all((k > 0) == h for k, h in zip(salt, sure)) and len({int(k) for k in salt[sure]}) > 10
+    found = phrases.count_windows("en", text, 30, 64)
+    sure = [(b, line) for b, kind, block in found if kind == "sure"
+            for line in zstandard.ZstdDecompressor().decompress(block).decode().split("\n")]
+    assert len({b for b, _ in sure}) > 20 and all(line.startswith("hot pair\t") for _, line in sure)
+    assert sum(int(line.split("\t")[1]) for _, line in sure) == 50 and [line for _, line in sure if line.split("\t")[1] == "0"] == ["hot pair\t0\t"]
+    home = next(b for b, line in sure if line == "hot pair\t0\t")
+    few = phrases.count_windows("en", phrases._marked("hot pair w0 x"), 30, 64)
+    assert home in {b for b, kind, _ in few if kind == "pair"}
 
 
 def test_phrases_awkward_and_empty(spark):
