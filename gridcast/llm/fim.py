@@ -22,12 +22,13 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 #: The control strings of the transformed text.
 PREFIX, SUFFIX, MIDDLE = "<P>", "<S>", "<M>"
 FRAME_BYTES = 64 << 10
 _LEVEL = 3
+_READER = zstandard.ZstdDecompressor()  # one for all texts: each holds memory of its own
+_SLICE = 256  # texts whose results a task holds at a time
 
 
 @dataclass(frozen=True)
@@ -55,7 +56,6 @@ class Store:
 
     def __init__(self, frames: list, lines: list[int], points: list[int], sizes: list[int]):
         self.frames, self.lines, self.points, self.sizes = frames, lines, points, sizes
-        self.reader = zstandard.ZstdDecompressor()
 
     @classmethod
     def of_text(cls, text: str | None, packer: zstandard.ZstdCompressor, frame_bytes: int = FRAME_BYTES) -> "Store":
@@ -70,7 +70,7 @@ class Store:
         return cls(frames, lines, points, sizes)
 
     def frame(self, i: int) -> bytes:
-        return self.reader.decompress(self.frames[i])
+        return _READER.decompress(self.frames[i])
 
     @property
     def n_units(self) -> int:
@@ -104,8 +104,7 @@ class Store:
 
 def stream(frames) -> Iterator[bytes]:
     """What frames hold, one after another."""
-    reader = zstandard.ZstdDecompressor()
-    return (reader.decompress(f) for f in frames)
+    return (_READER.decompress(f) for f in frames)
 
 
 def find_all(parts: Iterator[bytes], wanted: tuple[bytes, ...]) -> dict[bytes, int]:
@@ -187,7 +186,7 @@ def store_texts(docs: DataFrame, frame_bytes: int = FRAME_BYTES) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=_LEVEL)
         types = [pa.list_(pa.binary()), *[pa.list_(pa.int64())] * 3]
-        for b in batches:
+        for b in sliced(batches):
             stores = [Store.of_text(t.as_py(), packer, frame_bytes) for t in b.column(1)]
             columns = zip(*((s.frames, s.lines, s.points, s.sizes) for s in stores), strict=True) if stores else [[]] * 4
             yield pa.RecordBatch.from_arrays(
@@ -197,10 +196,18 @@ def store_texts(docs: DataFrame, frame_bytes: int = FRAME_BYTES) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, {STORE}")
 
 
+def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in slices, as a task holds the results of one slice."""
+    for b in batches:
+        for at in range(0, b.num_rows, _SLICE):
+            yield b.slice(at, _SLICE)
+
+
 def fill_in_middle(stores: DataFrame, rule: Rule = Rule()) -> DataFrame:
-    """``(doc_id, n, form, prefix_chars, middle_chars, output, output_sha256)`` for each stored text.
+    """``(doc_id, n, form, prefix_chars, middle_chars, output, output_sha256, restored_sha256)`` for each stored text.
 
-    ``output`` holds the frames of the transformed text. A text that is empty or holds a
+    ``output`` holds the frames of the transformed text; ``restored_sha256`` is the digest of the text as
+    :func:`restored` rebuilds it from ``output`` and ``form``. A text that is empty or holds a
     control string stays plain, its cuts null. Rows that repeat an id are cut alike; a null
     id counts as an empty one in the draw. No rows in: no rows out.
     """
@@ -210,29 +217,14 @@ def fill_in_middle(stores: DataFrame, rule: Rule = Rule()) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packer = zstandard.ZstdCompressor(level=_LEVEL)
-        for b in batches:
+        for b in sliced(batches):
             ids = b.column(0).to_pylist()
             done = [transform(Store(*(c[i].as_py() for c in b.columns[1:])), d, rule, packer) for i, d in enumerate(ids)]
+            digests = [[sha256_of(stream(r["output"])) for r in done], [sha256_of(restored(r["output"], r["form"])) for r in done]]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), *[pa.array([r[c] for r in done], t) for c, t in zip(names, types, strict=True)],
-                 pa.array([sha256_of(stream(r["output"])) for r in done], pa.string())],
-                ["doc_id", *names, "output_sha256"])
+                 *[pa.array(d, pa.string()) for d in digests]], ["doc_id", *names, "output_sha256", "restored_sha256"])
 
     return (stores.select("doc_id", "frames", "lines", "points", "sizes")
             .mapInArrow(run, f"doc_id {id_type}, n long, form string, prefix_chars long, middle_chars long, "
-                             "output array<binary>, output_sha256 string"))
-
-
-def restore(outputs: DataFrame) -> DataFrame:
-    """``outputs`` with ``restored_sha256`` instead of ``output``: the digest of each text, rebuilt from ``output`` and ``form``."""
-    kept = [c for c in outputs.columns if c not in ("output", "restored_sha256")]
-    schema = ", ".join(f"`{c}` {outputs.schema[c].dataType.simpleString()}" for c in kept)
-    places = [kept.index("form"), len(kept)]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            forms, outs = (b.column(i) for i in places)
-            digests = [sha256_of(restored(o.as_py(), f.as_py())) for f, o in zip(forms, outs, strict=True)]
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(digests, pa.string())], [*kept, "restored_sha256"])
-
-    return outputs.select(*kept, F.col("output")).mapInArrow(run, f"{schema}, restored_sha256 string")
+                             "output array<binary>, output_sha256 string, restored_sha256 string"))

@@ -177,7 +177,7 @@ SELECT doc_id, CAST(n AS BIGINT) AS n, form,
   sha256(text) AS restored_sha256 FROM p""")
 def op12(spark, sf_dir):
     stores = saved(fim.store_texts(table(spark, sf_dir, "documents")))
-    return fim.restore(fim.fill_in_middle(stores)).select(
+    return fim.fill_in_middle(stores).select(
         "doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
 
 
