@@ -44,7 +44,9 @@ END_ID = 1
 #: The dictionary: its size, the number of documents it is trained on and the bytes of each that are looked at.
 DICTIONARY_BYTES, SAMPLE_DOCS, SAMPLE_BYTES = 64 << 10, 2_000, 4 << 10
 SHARD_BYTES = 8 << 20
-_CACHED_WORDS, _CACHED_BYTES = 300_000, 48
+#: ASCII signs that end words: none is a letter, a digit or an apostrophe, so a run of them is one part.
+_SIGNS = b".,;:!?*#$%&|\"()[]{}<>/\\^_`~@+-="
+_CACHED_WORDS, _CACHED_PARTS, _CACHED_BYTES = 250_000, 200_000, 48
 
 # --- encoding ------------------------------------------------------------------------------
 
@@ -86,27 +88,35 @@ class Encoder:
             and not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in spec.get("added_tokens", [])))
         self.byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.pattern = regex.compile(_WORDWISE_PATTERN)
-        self.parts: dict[str, bytes] = {}
-        self.words = _Words(self)
+        self.shown = _Shown(self.byte_level)
+        self.packs = [struct.Struct(f"<{i}{'H' if self.dtype.itemsize == 2 else 'I'}").pack for i in range(32)]
+        self.parts = _Kept(self.part, _CACHED_PARTS)
+        self.words = _Kept(self.word, _CACHED_WORDS)  # of bytes.split, which parts exactly at the ASCII blanks
 
     def _pack(self, ids) -> bytes:
         return np.array(ids, self.dtype).tobytes()
 
-    def _part(self, part: str) -> bytes:
-        ids = self.parts.get(part)
-        if ids is None:
-            shown = part if part.isascii() else "".join(s for s, _ in self.byte_level.pre_tokenize_str(part))
-            ids = self._pack([t.id for t in self.model.tokenize(shown)])
-            if len(part) <= _CACHED_BYTES:
-                if len(self.parts) >= _CACHED_WORDS:
-                    self.parts.clear()
-                self.parts[part] = ids
-        return ids
-
-    def word(self, word: str) -> bytes:
-        if _PLAIN.fullmatch(word) and not any(a in word for a in self.added):
-            return b"".join([self._part(p) for p in self.pattern.findall(word.lower())])
-        return self._pack(self.tokenizer.encode(word, add_special_tokens=False).ids)
+    def part(self, part: bytes) -> bytes:
+        """Ids of one part, which the library's pre-tokenizer would not cut further, in lower case."""
+        shown = part.decode()
+        if not part.isascii():
+            shown = "".join(map(self.shown.__getitem__, shown))
+        ids = [t.id for t in self.model.tokenize(shown)]
+        return self.packs[len(ids)](*ids) if len(ids) < len(self.packs) else self._pack(ids)
+
+    def word(self, word: bytes) -> bytes:
+        low = word.lower()  # A-Z
+        core = low.rstrip(_SIGNS)
+        if not core.isalpha():  # a-z
+            text = word.decode()
+            plain = _PLAIN.fullmatch(text)
+            letters = core.decode().lower() if plain else ""
+            if not plain or any(a in text for a in self.added):
+                return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+            if not letters.isalpha():
+                return b"".join([self.parts[p.encode()] for p in self.pattern.findall(text.lower())])
+            return self.parts[letters.encode()] + (self.parts[low[len(core):]] if len(core) < len(low) else b"")
+        return self.parts[core] + self.parts[low[len(core):]] if len(core) < len(low) else self.parts[core]
 
     def text(self, text: str | None) -> bytes:
         """The serialized ids of a text (null: empty) and the end id."""
@@ -117,19 +127,35 @@ class Encoder:
         return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids) + self.end
 
 
-class _Words(dict):
-    """Ids of words seen, in a bounded dictionary. ``bytes.split`` parts exactly at the ASCII blanks."""
+class _Shown(dict):
+    """How the library's byte level writes a character."""
+
+    def __init__(self, byte_level):
+        super().__init__()
+        self.byte_level = byte_level
+
+    def __missing__(self, char: str) -> str:
+        self[char] = shown = "".join(s for s, _ in self.byte_level.pre_tokenize_str(char))
+        return shown
+
+
+class _Kept(dict):
+    """Results of ``make`` for short keys seen lately: a full table is set aside, and what is asked for again comes back from it."""
 
-    def __init__(self, encoder: Encoder):
+    def __init__(self, make, most: int):
         super().__init__()
-        self.encoder = encoder
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self.encoder.word(word.decode())
-        if len(word) <= _CACHED_BYTES:
-            if len(self) >= _CACHED_WORDS:
-                self.clear()
-            self[word] = ids
+        self.make, self.most, self.aside = make, most, {}
+
+    def __missing__(self, key: bytes) -> bytes:
+        ids = self.aside.get(key)
+        if ids is None:
+            ids = self.make(key)
+            if len(key) > _CACHED_BYTES:
+                return ids
+        if len(self) >= self.most:
+            self.aside = dict(self)
+            self.clear()
+        self[key] = ids
         return ids
 
 
@@ -175,11 +201,11 @@ def train_dictionary(encoded: DataFrame, width: int, size: int = DICTIONARY_BYTE
     on, they are the dictionary themselves; without documents it is empty.
     """
     n = F.octet_length("ids")
-    at = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.greatest(n - F.lit(looked_at), F.lit(0)) + 1)
+    at = F.pmod(F.xxhash64(F.lit(3), "row"), F.greatest(n - F.lit(looked_at), F.lit(0)) + 1)
     start = (F.floor(at / width) * width + 1).cast("int")
-    rows = (encoded.select(F.xxhash64(F.lit(5), "doc_id", F.octet_length("ids")).alias("h"),
-                           F.substring(F.col("ids"), start, F.lit(looked_at)).alias("s"))
-            .orderBy("h", "s").limit(docs).collect())
+    h, share = F.xxhash64(F.lit(5), "row"), 1.5 * docs / max(encoded.count(), 1)
+    few = encoded.where(F.pmod(h, F.lit(1 << 30)) < int(min(share, 1.0) * (1 << 30)))  # so that tasks send few rows
+    rows = few.select(h.alias("h"), F.substring(F.col("ids"), start, F.lit(looked_at)).alias("s")).orderBy("h", "s").limit(docs).collect()
     samples = [bytes(r["s"]) for r in rows]
     try:
         return zstandard.train_dictionary(size, samples).as_bytes()
