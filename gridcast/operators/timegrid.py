@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .windows import DEFAULT_BUCKET_ROWS, backward_fill, forward_fill, time_position
 
@@ -142,11 +143,37 @@ def completeness(df: DataFrame, cols: Sequence[str], ts: str) -> DataFrame:
                   F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"))
 
 
-def check_schema(df: DataFrame, required: Sequence[str]) -> DataFrame:
-    """Raise when a declared column is missing."""
-    missing = [c for c in required if c not in df.columns]
-    if missing:
-        raise ValueError(f"missing columns: {missing}")
+def schema_violations(df: DataFrame, declared: T.StructType) -> DataFrame:
+    """``(column, problem, declared, found, rows)`` for each violation of a declared schema.
+
+    Problems: ``missing`` column, other ``type``, ``null`` in a column declared without (with the number
+    of rows), ``undeclared`` column. For the others ``rows`` is the size of the table. One pass; no rows
+    out where the contract holds.
+    """
+    found = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    wanted = {f.name: f.dataType.simpleString() for f in declared.fields}
+    said = [(c, "missing", t, None) for c, t in wanted.items() if c not in found]
+    said += [(c, "type", t, found[c]) for c, t in wanted.items() if c in found and found[c] != t]
+    said += [(c, "undeclared", None, t) for c, t in found.items() if c not in wanted]
+    strict = [f.name for f in declared.fields if not f.nullable and f.name in found]
+    said += [(c, "null", wanted[c], found[c]) for c in strict]
+    counts = df.agg(F.count(F.lit(1)).alias("_all"), *[F.count_if(F.col(c).isNull()).alias(f"_n_{c}") for c in strict])
+    rows = [F.struct(*[F.lit(v).cast("string").alias(n) for n, v in zip(("column", "problem", "declared", "found"), r)],
+                     F.col(f"_n_{r[0]}" if r[1] == "null" else "_all").alias("rows")) for r in said]
+    if not rows:
+        return df.sparkSession.createDataFrame([], "column string, problem string, declared string, found string, rows long")
+    return counts.select(F.inline(F.array(*rows))).where("problem <> 'null' OR rows > 0")
+
+
+def check_schema(df: DataFrame, declared: Sequence[str] | T.StructType) -> DataFrame:
+    """Raise when a declared column is missing or, given a ``StructType``, has another type. No data is read."""
+    names = declared.names if isinstance(declared, T.StructType) else declared
+    wrong = [c for c in names if c not in df.columns]
+    if isinstance(declared, T.StructType):
+        wrong += [f"{f.name}: {df.schema[f.name].dataType.simpleString()} instead of {f.dataType.simpleString()}"
+                  for f in declared.fields if f.name in df.columns and df.schema[f.name].dataType != f.dataType]
+    if wrong:
+        raise ValueError(f"missing columns or other types: {wrong}")
     return df
 
 

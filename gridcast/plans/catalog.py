@@ -10,3 +10,4 @@ from . import q_scalar  # noqa: F401
 from . import q_model  # noqa: F401
 from . import q_masters  # noqa: F401
 from . import q_diag  # noqa: F401
+from . import q_walk  # noqa: F401

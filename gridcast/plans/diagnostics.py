@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from ..operators.windows import Lookback, lookback_features, position_index
 from ..session import cut_lineage
-from .linear import gram_table
+from .linear import gram_of_arrays
 
 # --- fixed values (see module docstring) ------------------------------------------------
 MACKINNON_C = {"tau_max": 2.74, "tau_min": -18.83, "tau_star": -1.61,
@@ -89,18 +89,28 @@ def kpss_p(stat):
 
 # --- I15: positional autocovariances ---------------------------------------------------------
 
+def centred(df: DataFrame, group: Sequence[str], ts: str, x: str, demean: bool = True) -> DataFrame:
+    """``(group…, pos, n, mean, _c)`` with ``_c = x − mean`` (or ``x``) and dense positions, written once:
+    the passes of a test read it from there."""
+    g = list(group)
+    if not g:
+        raise ValueError("centred needs at least one group column")
+    d = df.select(*g, ts, F.col(x).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
+    d = cut_lineage(d)  # the mean, the offsets and the rows themselves are three reads
+    mean = d.groupBy(*g).agg(F.avg("_x").alias("mean"), F.count(F.lit(1)).alias("n"))
+    c = position_index(d, g, [ts]).join(mean, g)
+    return c.select(*g, "pos", "n", "mean", (F.col("_x") - F.col("mean") if demean else F.col("_x")).alias("_c"))
+
+
 def autocovariances(df: DataFrame, group: Sequence[str], ts: str, x: str, max_lag: int,
                     demean: bool = True) -> DataFrame:
     """Per group: ``n, mean, s0 = Σc², ac[l] = Σ c_t c_{t−l}`` (l = 1..max_lag), with
     ``c = x − mean`` (or ``x``). Positional lags; one windowed pass + one aggregation."""
+    return _autocovariances(centred(df, group, ts, x, demean), group, max_lag)
+
+
+def _autocovariances(c: DataFrame, group: Sequence[str], max_lag: int) -> DataFrame:
     g = list(group)
-    d = df.select(*g, ts, F.col(x).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
-    mean = d.groupBy(*g).agg(F.avg("_x").alias("mean"), F.count(F.lit(1)).alias("n"))
-    c = d.join(mean, g)
-    c = c.withColumn("_c", F.col("_x") - F.col("mean") if demean else F.col("_x"))
-    if not g:
-        raise ValueError("autocovariances needs at least one group column")
-    c = position_index(c, g, [ts])
     w = lookback_features(c, g, "pos", Lookback().history("_h", "_c", max_lag))
     aggs = [F.first("n").alias("n"), F.first("mean").alias("mean"), F.sum(F.col("_c") * F.col("_c")).alias("s0")]
     aggs.append(F.array(*[F.coalesce(F.sum(F.col("_c") * F.get("_h", F.lit(lag - 1))), F.lit(0.0))
@@ -182,7 +192,7 @@ def _ols_from_gram(gpdf: pd.Series, k: int):
 def arch_lm(df: DataFrame, group: Sequence[str], ts: str, e: str, q: int = 48) -> DataFrame:
     """Regress e²_t on [1, e²_{t−1..t−q}]; LM = (n − q)·R², p = χ²_q tail."""
     d, g = _lagged(df.withColumn("_e2", F.col(e) * F.col(e)), group, ts, "_e2", q)
-    gram = gram_table(d.filter(F.col("pos") >= q), g, [F.get("_h", F.lit(i)) for i in range(q)], "_x")
+    gram = gram_of_arrays(d.filter(F.col("pos") >= q), g, "_h", "_x", q)
     schema = T.StructType([gram.schema[c] for c in g] + [T.StructField("arch_lm", T.DoubleType()),
                                                           T.StructField("arch_p", T.DoubleType())])
 
@@ -226,13 +236,15 @@ def adf_test(df: DataFrame, group: Sequence[str], ts: str, x: str, max_lag: int
     if own_lag:
         max_lag = default_lag(_largest_group(df, group, x))
     d, g = _lagged(df, group, ts, x, max_lag + 1)
-    back = lambda i: F.get("_h", F.lit(i))
-    steps = F.array(*[F.coalesce(back(i) - back(i + 1), F.lit(0.0)) for i in range(max_lag)]).cast("array<double>")
+    before = F.get("_h", F.lit(0))
+    later = F.concat(F.slice("_h", 2, max_lag), F.array_repeat(F.lit(None).cast("double"), max_lag))
+    steps = F.transform(F.slice(F.zip_with(F.col("_h"), later, lambda a, b: a - b), 1, max_lag),
+                        lambda v: F.coalesce(v, F.lit(0.0)))
+    padded = F.slice(F.concat(F.array(before), steps, F.array_repeat(F.lit(0.0), max_lag)), 1, max_lag + 1)
     w = d.filter(F.col("pos") >= 1).select(*g, F.least(F.col("pos"), F.lit(max_lag + 1)).alias("_k"),
-                                           (F.col("_x") - back(0)).alias("_dy"), back(0).alias("_xl1"), steps.alias("_d"))
-    feats = ["_xl1"] + [F.get("_d", F.lit(i)) for i in range(max_lag)]
-    gram = gram_table(w, [*g, "_k"], feats, "_dy")
-    kf = len(feats)
+                                           (F.col("_x") - before).alias("_dy"), padded.alias("_f"))
+    kf = max_lag + 1
+    gram = gram_of_arrays(w, [*g, "_k"], "_f", "_dy", kf)
     schema = T.StructType([gram.schema[c] for c in g] + [T.StructField("used_lag", T.IntegerType()),
                                                          T.StructField("adf_stat", T.DoubleType()),
                                                          T.StructField("adf_p", T.DoubleType()),
@@ -308,19 +320,17 @@ def kpss_test(df: DataFrame, group: Sequence[str], ts: str, x: str) -> DataFrame
     from ..operators.windows import prefix_sums
     g = list(group) or ["_all"]
     d = df if group else df.withColumn("_all", F.lit(1))
-    d = cut_lineage(d.select(*g, ts, x))  # written once: three passes read it
-    first = autocovariances(d, g, ts, x, max(1, int(_largest_group(d, g, x) ** (2.0 / 9.0))))
+    c = cut_lineage(centred(d, g, ts, x))  # two passes of autocovariances and the partial sums read it
+    longest = c.agg(F.max("n")).first()[0] or 0  # one number, which bounds how many lags are planned
+    first = _autocovariances(c, g, max(1, int(longest ** (2.0 / 9.0))))
     head = F.slice("ac", 1, F.floor(F.pow("n", F.lit(2.0 / 9.0))).cast("int"))
     total = lambda c: F.aggregate(c, F.lit(0.0), lambda a, b: a + b)
     s0 = F.col("s0") + 2 * total(head)
     s1 = 2 * total(F.transform(head, lambda v, i: (i + 1) * v))
     lag = F.floor(1.1447 * F.pow(F.pow(F.try_divide(s1, s0), 2) * F.col("n"), F.lit(1.0 / 3.0)))
     lags = cut_lineage(first.select(*g, F.least(F.coalesce(lag, F.lit(0)), F.col("n") - 1).cast("int").alias("lags")))
-    ac = autocovariances(d, g, ts, x, max(1, lags.agg(F.max("lags")).first()[0] or 0)).join(lags, g)
-    base = d.select(*g, ts, F.col(x).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
-    c = base.join(ac.select(*g, "mean"), g).withColumn("_c", F.col("_x") - F.col("mean"))
-    c = position_index(c, g, [ts])
-    ps = prefix_sums(c, g, "pos", ["_c"])
+    ac = _autocovariances(c, g, max(1, lags.agg(F.max("lags")).first()[0] or 0)).join(lags, g)
+    ps = prefix_sums(c.select(*g, "pos", "_c"), g, "pos", ["_c"])
     eta_num = ps.groupBy(*g).agg(F.sum(F.col("cum__c") * F.col("cum__c")).alias("ss"))
     j = ac.join(eta_num, g)
     schema = T.StructType([j.schema[cn] for cn in g] + [T.StructField("kpss_stat", T.DoubleType()),
@@ -364,8 +374,8 @@ def ols_hac(df: DataFrame, group: Sequence[str], ts: str, y: str, features: Sequ
     scaled = F.transform("_x", lambda v, i: F.coalesce(F.try_divide(v - F.get("_m", i), F.get("_s", i)), F.lit(0.0)))
     # the target less its mean: the constant gets it back at the end
     z = d.join(st, g).select(*g, ts, (F.col("_y") - F.col("_mean")).alias("_y"), scaled.alias("_z"))
-    gram = gram_table(z, g, [F.get("_z", F.lit(i)) for i in range(len(features))], "_y")
     kf = len(features)
+    gram = gram_of_arrays(z, g, "_z", "_y", kf)
     coef_schema = T.StructType([gram.schema[c] for c in g] + [T.StructField("beta", T.ArrayType(T.DoubleType())),
                                                               T.StructField("xtx_inv", T.ArrayType(T.DoubleType())),
                                                               T.StructField("rows", T.LongType())])
@@ -391,7 +401,8 @@ def ols_hac(df: DataFrame, group: Sequence[str], ts: str, y: str, features: Sequ
     for i in range(kf + 1):
         spec.rolling_sum(f"_b{i}", f"_s{i}", max_lag, 0)
     w = lookback_features(rolled, g, "pos", spec)
-    meat = gram_table(w, g, [f"_b{i}" for i in range(kf + 1)], "_b0").select(*g, "sxx")
+    w = w.select(*g, F.array(*[f"_b{i}" for i in range(kf + 1)]).alias("_b"), F.col("_b0").alias("_y"))
+    meat = gram_of_arrays(w, g, "_b", "_y", kf + 1).select(*g, "sxx")
     res_schema = T.StructType([gram.schema[c] for c in g] + [T.StructField("feature", T.StringType()),
                                                              T.StructField("coef", T.DoubleType()),
                                                              T.StructField("se", T.DoubleType()),

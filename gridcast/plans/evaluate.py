@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators.windows import Lookback, lookback_features, time_position
+from ..session import cut_lineage
 
 
 def naive_predictions(grid: DataFrame, series: Sequence[str] = ("series_id",), ts: str = "ts", y: str = "value",
@@ -33,20 +34,19 @@ def naive_predictions(grid: DataFrame, series: Sequence[str] = ("series_id",), t
     return long if complete else long.filter(F.col("yhat").isNotNull() & F.col("y").isNotNull())
 
 
-def conformal_quantile(residuals: DataFrame, group: Sequence[str], r: str = "r", alpha: float = 0.10,
-                       out: str = "q", slices: int = 256) -> DataFrame:
-    """E5: per group the k-th smallest |r| with ``k = min(ceil((m+1)(1−α)), m)``.
+def residual_counts(residuals: DataFrame, group: Sequence[str], r: str = "r") -> DataFrame:
+    """``(group…, _a, _n)``: how often each |r| occurs, written once; every rank below is read from it."""
+    a = residuals.select(*group, F.abs(F.col(r)).alias("_a")).filter(F.col("_a").isNotNull())
+    return cut_lineage(a.groupBy(*group, "_a").agg(F.count(F.lit(1)).alias("_n")))
 
-    Discrete order statistic (no interpolation), exact. A group of any size is cut into
-    about equal ``slices`` at approximate percentiles; counts per slice tell which one
-    holds rank k, and only that slice's distinct values are put in order.
-    """
+
+def quantile_of_counts(values: DataFrame, group: Sequence[str], alpha: float, out: str, slices: int = 256) -> DataFrame:
+    """E5 from ``(group…, _a, _n)`` with distinct ``_a`` in a group: ``(group…, m, out)``."""
     g = list(group)
-    a = residuals.select(*g, F.abs(F.col(r)).alias("_a")).filter(F.col("_a").isNotNull())
     marks = F.percentile_approx("_a", [i / slices for i in range(1, slices)], 10 * slices)
     rank = F.least(F.ceil((F.col("m") + 1) * (1 - alpha)), F.col("m"))
-    cuts = a.groupBy(*g).agg(marks.alias("_cuts"), F.count(F.lit(1)).alias("m")).withColumn("_k", rank)
-    values = (a.groupBy(*g, "_a").agg(F.count(F.lit(1)).alias("_n")).join(cuts, g)
+    cuts = values.groupBy(*g).agg(marks.alias("_cuts"), F.sum("_n").alias("m")).withColumn("_k", rank)
+    values = (values.join(cuts, g)
               .withColumn("_slice", F.size(F.filter("_cuts", lambda c: c < F.col("_a")))).drop("_cuts"))
     sizes = values.groupBy(*g, "_slice", "m", "_k").agg(F.sum("_n").alias("_size"))  # at most ``slices`` rows a group
     upto = F.sum("_size").over(Window.partitionBy(*g).orderBy("_slice"))
@@ -57,16 +57,27 @@ def conformal_quantile(residuals: DataFrame, group: Sequence[str], r: str = "r",
             .groupBy(*g, "m").agg(F.min("_a").alias(out)))
 
 
+def conformal_quantile(residuals: DataFrame, group: Sequence[str], r: str = "r", alpha: float = 0.10,
+                       out: str = "q", slices: int = 256) -> DataFrame:
+    """E5: per group the k-th smallest |r| with ``k = min(ceil((m+1)(1−α)), m)``.
+
+    Discrete order statistic (no interpolation), exact. The distinct values of a group are cut
+    into about equal ``slices`` at approximate percentiles; counts per slice tell which one
+    holds rank k, and only that slice's values are put in order.
+    """
+    return quantile_of_counts(residual_counts(residuals, group, r), group, alpha, out, slices)
+
+
 def mondrian_widths(residuals: DataFrame, group: Sequence[str], cell: str = "hour", r: str = "r",
                     alpha: float = 0.10, cells: Sequence[int] = tuple(range(24))) -> DataFrame:
     """Width per (group, cell) = E5 within the cell, falling back to the group's
-    global quantile when the cell has no residuals."""
-    per = conformal_quantile(residuals, [*group, cell], r, alpha, "q_cell").drop("m")
-    glob = conformal_quantile(residuals, group, r, alpha, "q_all").drop("m")
-    spark = residuals.sparkSession
-    cell_df = spark.createDataFrame([(int(c),) for c in cells], f"{cell} int")
+    global quantile when the cell has no residuals. The residuals are read once."""
+    counts = residual_counts(residuals, [*group, cell], r)
+    per = quantile_of_counts(counts, [*group, cell], alpha, "q_cell").drop("m")
+    whole = counts.groupBy(*group, "_a").agg(F.sum("_n").alias("_n"))
+    glob = quantile_of_counts(whole, group, alpha, "q_all").drop("m")
     # one row per group × 24 cells: bounded by the number of groups
-    full = glob.crossJoin(F.broadcast(cell_df))
+    full = glob.withColumn(cell, F.explode(F.array(*[F.lit(int(c)) for c in cells])))
     j = full.join(per, [*group, cell], "left")
     return j.select(*group, cell, F.coalesce("q_cell", "q_all").alias("w"))
 

@@ -172,17 +172,21 @@ def supply_features(master: DataFrame, target: str = "supply") -> DataFrame:
     return master.select("ts", *need).dropna(subset=need)
 
 
-def difference_gate(features: DataFrame, nonstationary: bool, target: str = "load_actual_mw",
-                    anchor: str = "lag24") -> DataFrame:
-    """If the level is not stationary, the target becomes ``target − lag24``."""
-    if not nonstationary:
-        return features
-    return features.withColumn(target, F.col(target) - F.col(anchor))
-
-
-def undifference(pred: DataFrame, anchor: str = "lag24", yhat: str = "yhat") -> DataFrame:
-    """I21 inverse: level forecast = anchor + predicted difference."""
-    return pred.withColumn(yhat, F.col(anchor) + F.col(yhat))
+def difference_gate(features: DataFrame, flags: DataFrame, series: tuple[str, ...] = ("series_id",),
+                    target: str = "load_actual_mw", anchor: str = "lag24") -> DataFrame:
+    """Where ``flags(series…, differenced)`` says that the level is not stationary, the target becomes
+    ``target − anchor``. Adds ``differenced``; one plan serves series of both kinds."""
+    j = features.join(flags, list(series))
+    return j.withColumn(target, F.when(F.col("differenced"), F.col(target) - F.col(anchor)).otherwise(F.col(target)))
+
+
+def undifference(pred: DataFrame, gated: DataFrame, series: tuple[str, ...] = ("series_id",), ts: str = "ts",
+                 anchor: str = "lag24") -> DataFrame:
+    """I21 inverse: forecast and actual of a differenced series are ``anchor`` + themselves."""
+    back = gated.select(*series, ts, "differenced", F.when(F.col("differenced"), F.col(anchor)).otherwise(F.lit(0.0)).alias("_anchor"))
+    return pred.join(back, [*series, ts]).select(
+        *[F.col(c) + F.col("_anchor") if c in ("y", "yhat") else F.col(c) for c in pred.columns], "differenced").toDF(
+        *pred.columns, "differenced")
 
 
 # --- SQL twin (for the DuckDB oracle) ---------------------------------------------------

@@ -7,15 +7,16 @@
 * A fold's training window, a CV split or a calibration window is a contiguous
   range of segments, so its Gram is a sum of a few small arrays; no row is
   rescanned per fold or per alpha.
-* Solvers (ridge with a GCV-chosen α, lasso by its exact path, elastic net by coordinate
-  descent on the Gram, both with ``TimeSeriesSplit``-style CV) run per (series, fold,
-  model) on executors via ``applyInPandas`` over k×k statistics only.
+* Solvers (ridge with a GCV-chosen α, lasso and elastic net by exact paths with
+  ``TimeSeriesSplit``-style CV) run per (series, fold, model) on executors via
+  ``applyInPandas`` over k×k statistics only.
 * Predictions join a coefficient table to the test rows and take the dot
   product with built-in array functions (I8).
 
-Approximation, stated: ridge α is chosen by generalised cross-validation on the Gram
-(the reference's exact leave-one-out needs per-row leverages of every fold). Sums are
-taken of values less their series mean, so that squares do not cancel.
+This is the way for windows that no task can hold; bounded windows are fitted row by row
+in ``walkforward.py``, with exact leave-one-out for ridge. Here ridge α is chosen by
+generalised cross-validation on the Gram. Sums are taken of values less their series
+mean, so that squares do not cancel.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,6 +60,58 @@ def gram_table(df: DataFrame, keys: Sequence[str], features: Sequence[str | Colu
                     F.array(*[f"_sxx{i}_{j}" for i, j in pairs]).alias("sxx"))
 
 
+_HELD_GRAMS = 1 << 22  # numbers that a task holds before it hands its partial Grams on
+
+
+def gram_of_arrays(df: DataFrame, keys: Sequence[str], x: str, y: str, k: int) -> DataFrame:
+    """:func:`gram_table` for one array column ``x`` of ``k`` numbers a row.
+
+    Tasks sum numpy partial Grams of ``[1, y, x]`` per key; their entries are added up by
+    position. The plan has the same size for any ``k``. Keys are few (groups, segments);
+    a task hands on what it holds when they are many.
+    """
+    keys = list(keys)
+    size = k + 2
+    upper = np.triu_indices(size)
+    schema = T.StructType([df.schema[c] for c in keys] + [T.StructField("_g", T.ArrayType(T.DoubleType()))])
+
+    def run(batches):
+        held: dict[tuple, np.ndarray] = {}
+
+        def handed_on():
+            types = [pa.list_(pa.float64())]
+            names = list(held)
+            columns = [pa.array([n[i] for n in names], t, from_pandas=True) for i, t in enumerate(key_types)]
+            sums = pa.array([held[n][upper] for n in names], types[0])
+            return pa.RecordBatch.from_arrays([*columns, sums], [*keys, "_g"])
+
+        key_types = []
+        for b in batches:
+            key_types = key_types or [b.column(i).type for i in range(len(keys))]
+            values = b.column(len(keys) + 1)
+            rows = np.empty((b.num_rows, size))
+            rows[:, 0], rows[:, 1] = 1.0, b.column(len(keys)).to_numpy(zero_copy_only=False)
+            rows[:, 2:] = values.flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, k)
+            own = pd.DataFrame({i: b.column(i).to_pandas() for i in range(len(keys))})
+            for key, at in own.groupby(list(own.columns), dropna=False, sort=False).indices.items():
+                part = rows[at]
+                key = tuple(own.iloc[at[0]]) if keys else key
+                held[key] = held.get(key, 0.0) + part.T @ part
+            if len(held) * size * size > _HELD_GRAMS:
+                yield handed_on()
+                held.clear()
+        if held:
+            yield handed_on()
+
+    partial = df.select(*keys, F.col(y).cast("double").alias("_y"), F.col(x).alias("_x")).mapInArrow(run, schema)
+    summed = (partial.select(*keys, F.posexplode("_g").alias("_i", "_v")).groupBy(*keys, "_i").agg(F.sum("_v").alias("_v"))
+              .groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_i", "_v")))["_v"].alias("_g")))
+    g = F.col("_g")  # rows of the upper triangle: [n, sy, sx…], [syy, sxy…], [sxx…]
+    return summed.select(*keys, g[0].cast("long").alias("n"), g[1].alias("sy"), g[size].alias("syy"),
+                         F.slice(g, 3, k).alias("sx"), F.slice(g, size + 2, k).alias("sxy"),
+                         F.slice(g, 2 * size, k * (k + 1) // 2).alias("sxx"))
+
+
 class Gram:
     """Sufficient statistics of one window (sum of segment rows)."""
 
@@ -235,6 +289,56 @@ def lasso_path_lars(cxx, cxy, n, alphas):
     return np.array(out)
 
 
+def feature_sign(cxx: np.ndarray, cxy: np.ndarray, l1: float, l2: float, beta: np.ndarray) -> np.ndarray:
+    """The exact minimiser of ``½βᵀ(C + l2)β − cᵀβ + l1‖β‖₁``, from a start ``beta``: signs are guessed, solved
+    for, and corrected along the line to the solution; every step lowers the objective."""
+    h = cxx + l2 * np.eye(len(cxy))
+    beta = beta.copy()
+    floor = 1e-10 * max(float(np.max(np.abs(cxy))), 1e-300)
+
+    def cost(b):
+        return 0.5 * b @ h @ b - cxy @ b + l1 * np.abs(b).sum()
+
+    for _ in range(50 * len(cxy) + 100):
+        gradient = h @ beta - cxy
+        sign = np.sign(beta)
+        off = np.where(sign == 0, np.abs(gradient), 0.0)
+        j = int(np.argmax(off))
+        settled = np.max(np.abs(np.where(sign != 0, gradient + l1 * sign, 0.0))) <= max(floor, 1e-9 * l1)
+        if off[j] <= l1 + max(floor, 1e-9 * l1):
+            if settled:
+                return beta
+        elif settled or not sign.any():
+            sign[j] = -np.sign(gradient[j])
+        active = np.flatnonzero(sign)
+        new = np.zeros_like(beta)
+        new[active] = np.linalg.lstsq(h[np.ix_(active, active)], cxy[active] - l1 * sign[active], rcond=None)[0] \
+            if l2 <= 0 else np.linalg.solve(h[np.ix_(active, active)], cxy[active] - l1 * sign[active])
+        step = new - beta
+        with np.errstate(divide="ignore", invalid="ignore"):
+            crossing = np.where((beta != 0) & (step != 0), -beta / step, np.inf)
+        points = [1.0, *sorted(set(crossing[(crossing > 0) & (crossing < 1)]))]
+        tried = []
+        for t in points:
+            b = beta + t * step
+            b[(crossing == t) & (t < 1)] = 0.0
+            tried.append((cost(b), b))
+        low, b = min(tried, key=lambda c: c[0])
+        if low >= cost(beta) and np.array_equal(np.sign(b), np.sign(beta)):
+            return b if low < cost(beta) else beta
+        beta = b
+    return beta
+
+
+def elastic_net_path(cxx, cxy, n: float, alphas: Sequence[float], l1_ratio: float) -> np.ndarray:
+    """Coefficients at each of ``alphas`` (falling), each from the one before."""
+    beta, out = np.zeros(len(cxy)), []
+    for a in alphas:
+        beta = feature_sign(cxx, cxy, n * a * l1_ratio, n * a * (1 - l1_ratio), beta)
+        out.append(beta)
+    return np.array(out)
+
+
 def _alpha_grid(cxy, n, l1_ratio):
     amax = np.max(np.abs(cxy)) / (n * l1_ratio) if n > 0 else 1.0
     amax = max(amax, 1e-12)
@@ -253,8 +357,8 @@ def cv_elastic_net(train: Gram, splits: list[tuple[Gram, Gram]], mu, sd, l1_rati
         betas = np.stack([lasso_path_lars(st[0], st[1], splits[si][0].n, grids[1.0])
                           for st, (_, si) in zip(stats, probs)])
     else:
-        betas = _cd_batch([st[0] for st in stats], [st[1] for st in stats], [splits[si][0].n for _, si in probs],
-                          [grids[rho] for rho, _ in probs], [rho for rho, _ in probs], cyy=[st[2] for st in stats])
+        betas = np.stack([elastic_net_path(st[0], st[1], splits[si][0].n, grids[rho], rho)
+                          for st, (rho, si) in zip(stats, probs)])
     best = None
     for rho in l1_ratios:
         mse = np.zeros(N_ALPHAS)
@@ -274,7 +378,7 @@ def cv_elastic_net(train: Gram, splits: list[tuple[Gram, Gram]], mu, sd, l1_rati
     if rho == 1.0:
         beta = lasso_path_lars(cxx, cxy, train.n, [a])[0]
     else:
-        beta = _cd_batch([cxx], [cxy], [train.n], [[a]], [rho], cyy=[cyy])[0, 0]
+        beta = elastic_net_path(cxx, cxy, train.n, [v for v in grids[rho] if v >= a], rho)[-1]
     gap = duality_gap(cxx[None], cxy[None], np.array([cyy]), np.array([train.n]), np.array([a]), np.array([rho]), beta[None])
     return beta, a, rho, float(gap[0])
 

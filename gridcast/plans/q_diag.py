@@ -10,7 +10,7 @@ from ..session import cut_lineage
 from .diagnostics import (acf_column, adf_test, arch_lm, autocovariances, diebold_mariano, hac_mean_test,
                           jarque_bera, kpss_test, ljung_box, ols_hac, prune_features)
 from .q_aggs import SQL_PRED, predictions, wide_predictions
-from .features import HORIZONS, build_features, feature_columns
+from .features import HORIZONS, build_features, difference_gate, feature_columns
 from .q_model import hourly_inputs
 from .registry import Tables, query
 
@@ -129,7 +129,5 @@ def q_gate(spark, sf_dir):
     w = wide_predictions(t).select("series_id", "ts", F.col("y").alias("load_actual_mw"),
                                    F.col("naive24").alias("lag24"))
     adf = adf_test(w, ["series_id"], "ts", "load_actual_mw").select("series_id", "adf_p")
-    j = w.join(adf, "series_id")
-    gated = j.withColumn("load_actual_mw", F.when(F.col("adf_p") >= 0.05, F.col("load_actual_mw") - F.col("lag24"))
-                         .otherwise(F.col("load_actual_mw")))
-    return gated.select("series_id", "ts", "load_actual_mw", (F.col("adf_p") >= 0.05).alias("differenced"))
+    flags = adf.select("series_id", (F.col("adf_p") >= 0.05).alias("differenced"))
+    return difference_gate(w, flags).select("series_id", "ts", "load_actual_mw", "differenced")

@@ -5,22 +5,21 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.calendar import days_off_from_dates
-from ..operators.aggregates import correlations, interval_quality
+from ..operators.aggregates import interval_quality
 from ..operators.windows import Lookback, lag_columns, lookback_features, with_position
 from ..session import cut_lineage
 from .evaluate import linear_ramp, mondrian_widths
 from .features import HORIZONS, build_features, feature_block, feature_columns, features_sql
-from .folds import chronological_split, fold_row_counts, fold_table, rows_in_folds
+from .folds import chronological_split, fold_row_counts, fold_table
 from .inputs import SQL_ORDER_DAILY, order_daily
-from .linear import CD_GAP, gram_table, learning_curve_windows, predict, walk_forward_linear
+from .linear import gram_table, walk_forward_linear
 from .q_aggs import SQL_PRED, predictions
 from .q_joins import SQL_HOLIDAYS
 from .registry import Tables, query
 
 DAY = 86400
-# fixed values of the reference: block and window lengths, training lengths of the learning curve
+# fixed values of the reference: block and window lengths
 TEST0, TEST_DAYS, TRAIN_DAYS = "2000-01-01 00:00:00", 15, 730
-LEARNING_DAYS = (30, 60, 90, 150, 240, 365, 480, 560, 700)
 
 
 def _daily_end(t):
@@ -111,65 +110,18 @@ def q_gram(spark, sf_dir):
                     F.col("sxx")[1].alias("sxx01"), F.col("sxx")[2].alias("sxx11"))
 
 
-def _walk_forward(spark, sf_dir, models, cal_days=0):
+@query("i2_gram_walk_forward")
+def q_gram_walk(spark, sf_dir):
+    """Walk-forward of the linear models from Gram tables alone, the way for windows that no task can hold:
+    test MAE, mean training MAE and overfit ratio on the daily series (ridge by GCV)."""
     t = Tables(spark, sf_dir)
-    return walk_forward_linear(daily_features(order_daily(t)), _folds(spark, t, cal_days), series=["series_id"], ts="ts", y="y",
-                               features=DAILY_FEATURES, models=models, min_train=300)
-
-
-@query("i3_ridge_walk_forward")
-def q_ridge(spark, sf_dir):
-    """Ridge (α by GCV over logspace(−2, 4, 13)) refit per fold; test-block predictions."""
-    p, _, _ = _walk_forward(spark, sf_dir, ("ridge",))
-    return p
-
-
-@query("i4_lasso_coefficients")
-def q_lasso(spark, sf_dir):
-    """I4: LassoCV (TimeSeriesSplit(4) on the Gram segments) coefficients per fold."""
-    _, c, _ = _walk_forward(spark, sf_dir, ("lasso",))
-    return c.select("series_id", "fold_id", "model", "intercept", "alpha", "n_train", (F.col("gap") <= CD_GAP).alias("converged"),
-                    F.size(F.filter("beta", lambda b: F.abs(b) > 1e-6)).alias("nonzero"))
-
-
-@query("i5_elasticnet_coefficients")
-def q_enet(spark, sf_dir):
-    """ElasticNetCV over l1 ratios {.1,.5,.7,.9,.95,.99} per fold."""
-    _, c, _ = _walk_forward(spark, sf_dir, ("elasticnet",))
-    return c.select("series_id", "fold_id", "model", "intercept", "alpha", "l1_ratio", "n_train",
-                    (F.col("gap") <= CD_GAP).alias("converged"))
-
-
-@query("i8_walk_forward_metrics")
-def q_wf_metrics(spark, sf_dir):
-    """I8 + D5/D7: test MAE and mean training MAE over folds (overfit ratio) of the three linear models;
-    the boosted trees' test errors are I6's predictions."""
-    p, _, tm = _walk_forward(spark, sf_dir, ("ridge", "lasso", "elasticnet"))
+    p, _, tm = walk_forward_linear(daily_features(order_daily(t)), _folds(spark, t), series=["series_id"], ts="ts", y="y",
+                                   features=DAILY_FEATURES, models=("ridge", "lasso", "elasticnet"), min_train=300)
     m = p.groupBy("series_id", "model").agg(F.count(F.lit(1)).alias("n"),
                                             F.avg(F.abs(F.col("yhat") - F.col("y"))).alias("test_mae"))
     return m.join(tm, ["series_id", "model"]).withColumn("overfit", F.try_divide("test_mae", "train_mae"))
 
 
-@query("i24_learning_curve")
-def q_learning(spark, sf_dir):
-    """Training and validation MAE of the linear models trained on the last {30…700} days before
-    a 45-day block."""
-    t = Tables(spark, sf_dir)
-    end = order_daily(t).agg(F.max("ts")).first()[0].isoformat(" ")
-    folds = learning_curve_windows(spark, end, LEARNING_DAYS, 45)
-    p, coefs, _ = walk_forward_linear(daily_features(order_daily(t)), folds.drop("days"), series=["series_id"], ts="ts", y="y",
-                                      features=DAILY_FEATURES, models=("ridge", "lasso", "elasticnet"), min_train=20,
-                                      with_train_mae=False)
-    key = ["series_id", "fold_id", "model"]
-    rows = rows_in_folds(daily_features(order_daily(t)).dropna(), folds, "ts", "train_start", "cal_start")
-    train = (predict(rows, coefs.select(*key, "intercept", "beta"), DAILY_FEATURES, key[:2])
-             .groupBy(*key).agg(F.avg(F.abs(F.col("yhat") - F.col("y"))).alias("train_mae")))
-    valid = p.groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs(F.col("yhat") - F.col("y"))).alias("mae"))
-    days = folds.select("fold_id", "days")
-    return (valid.join(train, key).join(F.broadcast(days), "fold_id")
-            .select("series_id", "model", "days", "n", "train_mae", "mae"))
-
-
 @query("i22_conformal_pass", f"""
 WITH {SQL_PRED},
 q AS (SELECT series_id, model, ts, y, yhat, y - yhat AS r,
@@ -192,8 +144,8 @@ SELECT series_id, model, count(*) AS n, avg(CASE WHEN y >= lo AND y <= hi THEN 1
 FROM iv GROUP BY 1, 2""", doubles=["coverage_pct", "mean_half_width", "winkler"])
 def q_conformal_pass(spark, sf_dir):
     """Split-conformal pass: Mondrian widths from a calibration window, intervals on the test window."""
-    p = predictions(Tables(spark, sf_dir)).withColumn("r", F.col("y") - F.col("yhat")).withColumn(
-        "hour", F.hour(F.from_utc_timestamp("ts", "Europe/Sofia")))
+    p = cut_lineage(predictions(Tables(spark, sf_dir)).withColumn("r", F.col("y") - F.col("yhat")).withColumn(
+        "hour", F.hour(F.from_utc_timestamp("ts", "Europe/Sofia"))))  # written once: calibration and test rows
     cut = F.lit("2024-01-20 00:00:00").cast("timestamp")
     w = mondrian_widths(p.filter(F.col("ts") < cut), ["series_id", "model"], "hour", "r", 0.10)
     te = p.filter(F.col("ts") >= cut).join(w, ["series_id", "model", "hour"])
@@ -204,16 +156,16 @@ def q_conformal_pass(spark, sf_dir):
 
 @query("i25_quarter_hour_ramp", f"""
 WITH {SQL_PRED},
-w AS (SELECT series_id, ts, lag(y) OVER (PARTITION BY series_id ORDER BY ts) AS a, yhat AS f FROM p WHERE model = 'naive24'),
-e AS (SELECT series_id, ts AS src, a, f, unnest(range(1, 5)) AS q FROM w),
-r AS (SELECT series_id, src - (4 - q) * INTERVAL 15 MINUTE AS ts, src, a + (q / 4.0) * (f - a) AS p15 FROM e)
-SELECT series_id, ts, p15 FROM (SELECT *, row_number() OVER (PARTITION BY series_id, ts ORDER BY src DESC) AS rn FROM r WHERE p15 IS NOT NULL)
-WHERE rn = 1""", doubles=["p15"])
+w AS (SELECT series_id, model, ts, lag(y) OVER (PARTITION BY series_id, model ORDER BY ts) AS a, yhat AS f FROM p),
+e AS (SELECT series_id, model, ts AS src, a, f, unnest(range(1, 5)) AS q FROM w),
+r AS (SELECT series_id, model, src - (4 - q) * INTERVAL 15 MINUTE AS ts, src, a + (q / 4.0) * (f - a) AS p15 FROM e)
+SELECT series_id, model, ts, p15 FROM (SELECT *, row_number() OVER (PARTITION BY series_id, model, ts ORDER BY src DESC) AS rn
+  FROM r WHERE p15 IS NOT NULL) WHERE rn = 1""", doubles=["p15"])
 def q_ramp(spark, sf_dir):
-    """Linear 15-minute ramp from the last known value (lag 1, not the target hour's own) to the hourly forecast."""
-    p = predictions(Tables(spark, sf_dir)).filter(F.col("model") == "naive24")
-    known = lag_columns(p.select("series_id", "ts", "y", F.col("yhat").alias("f")), ["series_id"], "ts", "y", [1])
-    return linear_ramp(known, ["series_id"], "ts", "lag1", "f")
+    """Linear 15-minute ramp from the last known value (lag 1, not the target hour's own) to each model's hourly forecast."""
+    p = predictions(Tables(spark, sf_dir))
+    known = lag_columns(p.select("series_id", "model", "ts", "y", F.col("yhat").alias("f")), ["series_id", "model"], "ts", "y", [1])
+    return linear_ramp(known, ["series_id", "model"], "ts", "lag1", "f")
 
 
 # --- I27 feature tables on the hourly event series -----------------------------------
@@ -276,42 +228,3 @@ def q_blocks(spark, sf_dir):
     f = build_features(HORIZONS["1d"], *hourly_inputs(spark, Tables(spark, sf_dir)))
     counts = f.agg(*[F.count(c).alias(c) for c in _H8_COLS]).unpivot([], _H8_COLS, "feature", "n")
     return counts.select("feature", feature_block(F.col("feature")).alias("block"), "n")
-
-
-# --- I6 / I7 / I12: trees (MLlib), significant-feature matrix ------------------------------
-
-@query("i6_boosted_trees_walk_forward")
-def q_boosted(spark, sf_dir):
-    """Boosted trees (depth 3, lr .03, subsample .7, min 20 per node) refit per fold, pooled over
-    series; the registered check uses 20 boosting rounds instead of 500 to bound its run time."""
-    from .trees import walk_forward_trees
-    t = Tables(spark, sf_dir)
-    p, _ = walk_forward_trees(daily_features(order_daily(t)), _folds(spark, t), ts="ts", y="y", features=DAILY_FEATURES,
-                              kind="XGBoost", params={"maxIter": 20}, min_train=300, series=["series_id"])
-    return p
-
-
-def _whole_span(t):
-    """One window over all rows: used for the full-data inference fits of I12."""
-    d = order_daily(t).agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
-    one = F.make_dt_interval(F.lit(1))
-    return d.select(F.lit(1).alias("fold_id"), F.col("a").alias("train_start"), (F.col("b") + one).alias("cal_start"),
-                    F.col("b").alias("test_start"), (F.col("b") + one).alias("test_end"))
-
-
-@query("i12_significant_features")
-def q_sig(spark, sf_dir):
-    """Significant-feature matrix from full-data fits on the sum of all series: OLS-HAC p (48 lags),
-    lasso/elastic-net non-zero coefficients, importances of 500 boosted trees, correlations."""
-    from .diagnostics import ols_hac
-    from .trees import significant_features, walk_forward_trees
-    t = Tables(spark, sf_dir)
-    total = order_daily(t).groupBy(F.lit("all").alias("series_id"), "ts").agg(F.sum("value").alias("value"))
-    f = cut_lineage(daily_features(total).dropna())
-    ols = ols_hac(f, ["series_id"], "ts", "y", DAILY_FEATURES, 48)
-    span = _whole_span(t)
-    _, coefs, _ = walk_forward_linear(f, span, series=["series_id"], ts="ts", y="y", features=DAILY_FEATURES,
-                                      models=("lasso", "elasticnet"), min_train=300, with_train_mae=False)
-    _, imps = walk_forward_trees(f, span, ts="ts", y="y", features=DAILY_FEATURES, kind="XGBoost", min_train=300)
-    return significant_features(ols, coefs.select("model", "fold_id", "beta"), imps, DAILY_FEATURES,
-                                correlations(f, "y", DAILY_FEATURES))

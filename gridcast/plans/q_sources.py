@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from ..sources.manifest import dataset_manifest, split_at_years, split_rolling_years
 from ..sources.parsing import (coerce_double, decode_product_code, encode_product_code, extract_list_items,
                                json_arrays_to_rows, locale_double)
-from ..sources.readers import read_dataset
+from ..session import scratch_folder
+from ..sources.readers import coalesce_sources, read_dataset, read_newest, write_table
 from .inputs import SQL_INTERVALS, order_intervals
 from .registry import Tables, query
 
@@ -24,6 +25,53 @@ def q_read(spark, sf_dir):
         "event_id", "ts", "event_type", "value")
 
 
+@query("a2_newest_snapshot", """
+SELECT year(o_orderdate) AS year, count(*) AS orders, sum(o_totalprice) AS total FROM orders GROUP BY 1""",
+       doubles=["total"], ints=["year"])
+def q_newest(spark, sf_dir):
+    """A2: three snapshots of a dataset, each with more of ``orders``, and a later dataset whose name begins alike;
+    the newest snapshot of the exact name is found from file metadata and read."""
+    root = scratch_folder(spark, "snapshots")
+    o = Tables(spark, sf_dir)("orders", "o_orderdate", "o_totalprice")
+    for name, upto in (("first", "1997-01-01"), ("second", "1999-01-01"), ("third", "9999-01-01")):
+        write_table(o.where(F.col("o_orderdate") < F.lit(upto).cast("timestamp")), f"{root}/orders/{name}")
+    write_table(o.withColumn("o_totalprice", F.col("o_totalprice") * 2), f"{root}/orders_forecast/fourth")
+    return (read_newest(spark, root, "orders").groupBy(F.year("o_orderdate").alias("year"))
+            .agg(F.count(F.lit(1)).alias("orders"), F.sum("o_totalprice").alias("total")))
+
+
+@query("a3_preferred_source", """
+WITH c AS (SELECT o_orderpriority AS series_id, o_orderdate AS ts, sum(o_totalprice) AS value FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2),
+r AS (SELECT o_orderpriority AS series_id, o_orderdate AS ts, sum(o_totalprice) AS value FROM orders GROUP BY 1, 2)
+SELECT coalesce(c.series_id, r.series_id) AS series_id, coalesce(c.ts, r.ts) AS ts, coalesce(c.value, r.value) AS value
+FROM c FULL JOIN r ON c.series_id = r.series_id AND c.ts = r.ts""", doubles=["value"])
+def q_preferred(spark, sf_dir):
+    """A3: a cleaned source (finished orders) where it has a value, the raw one (all orders) elsewhere."""
+    o = Tables(spark, sf_dir)("orders", "o_orderpriority", "o_orderdate", "o_totalprice", "o_orderstatus")
+    key = [F.col("o_orderpriority").alias("series_id"), F.col("o_orderdate").alias("ts")]
+    total = F.sum("o_totalprice").alias("value")
+    return coalesce_sources(o.where("o_orderstatus = 'F'").groupBy(*key).agg(total), o.groupBy(*key).agg(total),
+                            ["series_id", "ts"], "value")
+
+
+@query("a9_partitioned_write", """
+SELECT year(o_orderdate) AS year, o_orderpriority AS series_id, count(*) AS orders, sum(o_totalprice) AS total
+FROM orders GROUP BY 1, 2""", doubles=["total"], ints=["year"])
+def q_written(spark, sf_dir):
+    """``orders`` written by year to the shared folder, one file a year and task, and read back with the year
+    as partition column (a filter on it reads only its folders; tests look at the plan)."""
+    return (written_by_year(spark, sf_dir).groupBy("year", F.col("o_orderpriority").alias("series_id"))
+            .agg(F.count(F.lit(1)).alias("orders"), F.sum("o_totalprice").alias("total")))
+
+
+def written_by_year(spark, sf_dir):
+    """``orders`` as a table partitioned by year, read back."""
+    path = scratch_folder(spark, "by-year")
+    o = Tables(spark, sf_dir)("orders", "o_orderkey", "o_orderpriority", "o_orderdate", "o_totalprice")
+    write_table(o.withColumn("year", F.year("o_orderdate")), path, ["year"])
+    return read_dataset(spark, path)
+
+
 @query("a4_json_arrays", f"""
 SELECT event_id // {DOC_ROWS} AS doc_id, date_trunc('minute', ts) AS ts, value, 'forecast' AS source
 FROM events""", doubles=["value"])

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.timefns import local_fields, localize_fixed_offset, parse_instant
 from ..operators.timegrid import (resample, align_to_grid, completeness, dedupe, drop_empty_columns_fill_zero,
                                   dst_audit, explode_grid, fill_on_grid, hourly_grid, null_profile,
-                                  priority_stitch, rebuild_comparison, tagged_union, trim, union_chunks)
+                                  priority_stitch, rebuild_comparison, schema_violations, tagged_union, trim, union_chunks)
 from .inputs import EVENT_TYPES, SQL_EVENT_GRID, SQL_EVENT_HOURLY, event_grid, event_hourly
 from .registry import Tables, query
 
@@ -202,6 +203,27 @@ def q_completeness(spark, sf_dir):
     return completeness(_wide(Tables(spark, sf_dir)), EVENT_TYPES, "ts")
 
 
+#: A contract that ``events`` does not keep: another type, a missing and an undeclared column.
+_CONTRACT = T.StructType([
+    T.StructField("event_id", T.LongType(), False), T.StructField("ts", T.TimestampType(), False),
+    T.StructField("event_type", T.StringType(), False), T.StructField("value", T.DecimalType(10, 2)),
+    T.StructField("user_id", T.LongType(), False), T.StructField("source", T.StringType())])
+
+
+@query("b16_schema_contract", """
+WITH n AS (SELECT count(*) AS n, count(*) FILTER (WHERE event_id IS NULL) AS a, count(*) FILTER (WHERE ts IS NULL) AS b,
+  count(*) FILTER (WHERE event_type IS NULL) AS c, count(*) FILTER (WHERE user_id IS NULL) AS d FROM events),
+v AS (SELECT 'source' AS "column", 'missing' AS problem, 'string' AS declared, NULL AS found, n AS rows FROM n
+  UNION ALL SELECT 'value', 'type', 'decimal(10,2)', 'double', n FROM n
+  UNION ALL SELECT 'props', 'undeclared', NULL, 'string', n FROM n
+  UNION ALL SELECT 'event_id', 'null', 'bigint', 'bigint', a FROM n UNION ALL SELECT 'ts', 'null', 'timestamp', 'timestamp', b FROM n
+  UNION ALL SELECT 'event_type', 'null', 'string', 'string', c FROM n UNION ALL SELECT 'user_id', 'null', 'bigint', 'bigint', d FROM n)
+SELECT * FROM v WHERE problem <> 'null' OR rows > 0""", ints=["rows"])
+def q_contract(spark, sf_dir):
+    """Columns that are missing, undeclared, of another type, or NULL where the contract allows none."""
+    return schema_violations(Tables(spark, sf_dir)("events"), _CONTRACT)
+
+
 @query("b17_rebuild_comparison", f"""
 WITH n AS ({SQL_EVENT_HOURLY}),
 o AS (SELECT event_type AS series_id, date_trunc('hour', ts) AS ts, sum(value) + 0.5 * count(*) AS value

@@ -91,51 +91,17 @@ def q_exog(spark, sf_dir):
 
 @query("e5_conformal_quantile", f"""
 WITH {SQL_PRED},
-r AS (SELECT series_id, abs(y - yhat) AS a FROM p WHERE model = 'naive24'),
-k AS (SELECT series_id, a, row_number() OVER (PARTITION BY series_id ORDER BY a) AS rn,
-             count(*) OVER (PARTITION BY series_id) AS m FROM r)
-SELECT series_id, m, a AS q FROM k WHERE rn = least(ceil((m + 1) * 0.9), m)""", doubles=["q"])
-def q_conformal(spark, sf_dir):
-    """E5: discrete split-conformal quantile of |residual| (α = 0.10)."""
-    p = predictions(Tables(spark, sf_dir)).filter(F.col("model") == "naive24")
-    return conformal_quantile(p.withColumn("r", F.col("y") - F.col("yhat")), ["series_id"], "r", 0.10)
-
-
-@query("e6_mondrian_widths", f"""
-WITH {SQL_PRED},
-r AS (SELECT series_id, hour((ts AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Sofia') AS hour, abs(y - yhat) AS a
-      FROM p WHERE model = 'naive24'),
-kc AS (SELECT series_id, hour, a, row_number() OVER (PARTITION BY series_id, hour ORDER BY a) AS rn,
-              count(*) OVER (PARTITION BY series_id, hour) AS m FROM r),
-qc AS (SELECT series_id, hour, a AS q FROM kc WHERE rn = least(ceil((m + 1) * 0.9), m)),
-kg AS (SELECT series_id, a, row_number() OVER (PARTITION BY series_id ORDER BY a) AS rn,
-              count(*) OVER (PARTITION BY series_id) AS m FROM r),
-qg AS (SELECT series_id, a AS q FROM kg WHERE rn = least(ceil((m + 1) * 0.9), m)),
-hrs AS (SELECT unnest(range(24)) AS hour)
-SELECT qg.series_id, hrs.hour, coalesce(qc.q, qg.q) AS w
-FROM qg CROSS JOIN hrs LEFT JOIN qc ON qc.series_id = qg.series_id AND qc.hour = hrs.hour""",
-       doubles=["w"], ints=["hour"])
-def q_mondrian(spark, sf_dir):
-    """Mondrian (per local hour) conformal widths with global fallback."""
-    p = predictions(Tables(spark, sf_dir)).filter(F.col("model") == "naive24")
-    r = p.select("series_id", F.hour(F.from_utc_timestamp("ts", "Europe/Sofia")).alias("hour"),
-                 (F.col("y") - F.col("yhat")).alias("r"))
-    return mondrian_widths(r, ["series_id"], "hour", "r", 0.10)
-
-
-@query("e5_conformal_quantile_models", f"""
-WITH {SQL_PRED},
 r AS (SELECT series_id, model, abs(y - yhat) AS a FROM p),
 k AS (SELECT series_id, model, a, row_number() OVER (PARTITION BY series_id, model ORDER BY a) AS rn,
              count(*) OVER (PARTITION BY series_id, model) AS m FROM r)
 SELECT series_id, model, m, a AS q FROM k WHERE rn = least(ceil((m + 1) * 0.9), m)""", doubles=["q"])
-def q_conformal_models(spark, sf_dir):
-    """E5 of every model: discrete split-conformal quantile of |residual| per series and model (α = 0.10)."""
+def q_conformal(spark, sf_dir):
+    """E5: discrete split-conformal quantile of |residual| per series and model (α = 0.10)."""
     p = predictions(Tables(spark, sf_dir))
     return conformal_quantile(p.withColumn("r", F.col("y") - F.col("yhat")), ["series_id", "model"], "r", 0.10)
 
 
-@query("e6_mondrian_widths_models", f"""
+@query("e6_mondrian_widths", f"""
 WITH {SQL_PRED},
 r AS (SELECT series_id, model, hour((ts AT TIME ZONE 'UTC') AT TIME ZONE 'Europe/Sofia') AS hour, abs(y - yhat) AS a
       FROM p),
@@ -149,8 +115,8 @@ hrs AS (SELECT unnest(range(24)) AS hour)
 SELECT qg.series_id, qg.model, hrs.hour, coalesce(qc.q, qg.q) AS w
 FROM qg CROSS JOIN hrs LEFT JOIN qc ON qc.series_id = qg.series_id AND qc.model = qg.model AND qc.hour = hrs.hour""",
        doubles=["w"], ints=["hour"])
-def q_mondrian_models(spark, sf_dir):
-    """E6 of every model: Mondrian (per local hour) conformal widths per series and model, with global fallback."""
+def q_mondrian(spark, sf_dir):
+    """Mondrian (per local hour) conformal widths per series and model, with global fallback."""
     p = predictions(Tables(spark, sf_dir))
     r = p.select("series_id", "model", F.hour(F.from_utc_timestamp("ts", "Europe/Sofia")).alias("hour"),
                  (F.col("y") - F.col("yhat")).alias("r"))

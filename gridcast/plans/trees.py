@@ -1,9 +1,7 @@
-"""Tree ensembles with Spark MLlib, refit per fold.
+"""Supply models with Spark MLlib, significant-feature matrix.
 
-Each fold's fit is a distributed MLlib job over that fold's training rows (the
-fold table is small and broadcast). Fidelity notes: MLlib's boosted trees have
-no L2 leaf penalty (λ) and split on binned features; ``minInfoGain`` stands in for
-γ. These results approximate, not equal, the reference's boosters.
+Each tree ensemble of I7 is a distributed MLlib job (binned splits). The boosted trees of
+the walk-forward are in ``boosting.py``.
 """
 
 from __future__ import annotations
@@ -17,12 +15,10 @@ from pyspark.sql import functions as F
 
 from ..operators.aggregates import standardize, standardized_metrics
 from ..session import cut_lineage
-from .folds import chronological_split, fold_row_counts, valid_folds
+from .folds import chronological_split
 from .linear import fixed_linear
 
 # --- fixed values (reference hyper-parameters) ------------------------------------------
-BOOSTED_1D = dict(maxIter=500, maxDepth=3, stepSize=0.03, subsamplingRate=0.7, featureSubsetStrategy="0.7",
-                  minInstancesPerNode=20, minInfoGain=1.0, seed=42)
 SUPPLY_LINEAR = (("Lasso", 0.01, 1.0), ("Ridge", 1.0, 0.0), ("ElasticNet", 0.01, 0.5))
 SUPPLY_TREES = {"DecisionTree": dict(maxDepth=10, minInstancesPerNode=30, seed=42),
                 "RandomForest": dict(numTrees=100, maxDepth=10, minInstancesPerNode=30, featureSubsetStrategy="all",
@@ -34,43 +30,10 @@ IMPORTANCE_MIN = 0.005
 
 def make_tree(kind: str, **params):
     cls = {"DecisionTree": DecisionTreeRegressor, "RandomForest": RandomForestRegressor,
-           "GradientBoosting": GBTRegressor, "XGBoost": GBTRegressor}[kind]
+           "GradientBoosting": GBTRegressor}[kind]
     return cls(featuresCol="_features", labelCol="_label", **params)
 
 
-def walk_forward_trees(feat: DataFrame, folds: DataFrame, *, ts: str, y: str, features: Sequence[str],
-                       kind: str = "XGBoost", params: dict | None = None, min_train: int = 4000,
-                       series: Sequence[str] = ()) -> tuple[DataFrame, DataFrame]:
-    """I6/I8 for trees: per fold, fit on ``[train_start, cal_start)`` and predict
-    ``[test_start, test_end)``. Returns (predictions, feature importances)."""
-    params = dict(BOOSTED_1D if kind == "XGBoost" else SUPPLY_TREES.get(kind, {}), **(params or {}))
-    asm = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="skip")
-    # written once: every fold's fit and prediction reads the feature table from there
-    data = cut_lineage(asm.transform(feat.select(*series, ts, F.col(y).alias("_label"), *features).dropna())
-                       .select(*series, ts, "_label", "_features"))
-    counts = valid_folds(fold_row_counts(data, folds, ts), min_train)  # one job for every fold's row counts
-    ok = {r["fold_id"] for r in counts.select("fold_id").collect()}
-    preds, imps = [], []
-    for f in folds.collect():  # the fold table: one row per test block
-        if f["fold_id"] not in ok:
-            continue
-        tr = data.filter((F.col(ts) >= f["train_start"]) & (F.col(ts) < f["cal_start"]))
-        te = data.filter((F.col(ts) >= f["test_start"]) & (F.col(ts) < f["test_end"]))
-        model = make_tree(kind, **params).fit(tr)
-        preds.append(model.transform(te).select(*series, F.lit(f["fold_id"]).alias("fold_id"),
-                                                F.lit(kind).alias("model"), ts, F.col("_label").alias("y"),
-                                                F.col("prediction").alias("yhat")))
-        imp = model.featureImportances.toArray().tolist()
-        imps.append([(int(f["fold_id"]), kind, c, float(v)) for c, v in zip(features, imp)])
-    spark = feat.sparkSession
-    out = preds[0]
-    for p in preds[1:]:
-        out = out.unionByName(p)
-    imp_df = spark.createDataFrame([r for rows in imps for r in rows],
-                                   "fold_id int, model string, feature string, importance double")
-    return out, imp_df
-
-
 def supply_models(table: DataFrame, ts: str, target: str, features: Sequence[str], split: str,
                   trees: dict | None = None) -> DataFrame:
     """Every supply model fitted before ``split`` and scored from it on, in standard units.

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -92,3 +93,11 @@ def cut_lineage(df):
     """Reliable checkpoint (never local): survives executor loss."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def scratch_folder(spark: SparkSession, kind: str) -> str:
+    """A new place in the shared checkpoint folder; what is written there goes when the driver's JVM ends."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path

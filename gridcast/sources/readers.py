@@ -59,6 +59,18 @@ def newest_snapshot(files: DataFrame, dataset_col: str = "dataset") -> DataFrame
             .agg(F.max_by("path", F.struct("mtime", "path")).alias("path"), F.max("mtime").alias("mtime")))
 
 
+def read_newest(spark: SparkSession, root: str, dataset: str, fmt: str = "parquet") -> DataFrame:
+    """A2: the newest snapshot of ``dataset`` under ``root`` (``root/<dataset>/<snapshot>/files``).
+
+    The newest file's folder is the snapshot. A dataset whose name only begins alike does not match.
+    """
+    files = file_listing(spark, f"{root}/*/*", fmt).withColumn("dataset", F.regexp_extract("path", "([^/]+)/[^/]+/[^/]+$", 1))
+    found = newest_snapshot(files.where(F.col("dataset") == dataset)).first()  # one row
+    if found is None:
+        raise FileNotFoundError(f"no snapshot of {dataset} under {root}")
+    return canonical_timestamps(spark.read.format(fmt).load(found["path"].rsplit("/", 1)[0]))
+
+
 def file_listing(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
     """Distinct (path, mtime) of the files under ``path``, from scan metadata only."""
     df = spark.read.format(fmt).load(path)
@@ -66,11 +78,6 @@ def file_listing(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
                       F.col("_metadata.file_modification_time").alias("mtime")).distinct())
 
 
-def prefer_source(preferred: DataFrame | None, fallback: DataFrame) -> DataFrame:
-    """A3: the cleaned dataset when present, otherwise the raw one."""
-    return preferred if preferred is not None else fallback
-
-
 def coalesce_sources(preferred: DataFrame, fallback: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """A3 per-row variant: preferred value where present, fallback elsewhere."""
     p = preferred.select(*keys, F.col(value).alias("_p"))

@@ -28,7 +28,7 @@ def ranked(a):
 
 def test_quantiles_of_every_model(spark, residuals):
     got = {(r["series_id"], r["model"]): (r["m"], r["q"])
-           for r in E.queries()["e5_conformal_quantile_models"](spark, SF).collect()}
+           for r in E.queries()["e5_conformal_quantile"](spark, SF).collect()}
     want = {k: (len(a), ranked(a)) for k, a in residuals.items() if len(k) == 2}
     assert {m for _, m in got} == set(MODELS) and got.keys() == want.keys()
     assert all(got[k][0] == n and got[k][1] == pytest.approx(q, abs=1e-6) for k, (n, q) in want.items())
@@ -36,7 +36,7 @@ def test_quantiles_of_every_model(spark, residuals):
 
 def test_widths_of_every_model_and_hour(spark, residuals):
     got = {(r["series_id"], r["model"], r["hour"]): r["w"]
-           for r in E.queries()["e6_mondrian_widths_models"](spark, SF).collect()}
+           for r in E.queries()["e6_mondrian_widths"](spark, SF).collect()}
     want = {(*k, h): ranked(residuals.get((*k, h), a)) for k, a in residuals.items() if len(k) == 2 for h in range(24)}
     assert {m for _, m, _ in got} == set(MODELS) and got.keys() == want.keys()
     assert all(got[k] == pytest.approx(w, abs=1e-6) for k, w in want.items())
