@@ -118,13 +118,11 @@ class Encoder:
             return self.parts[letters.encode()] + (self.parts[low[len(core):]] if len(core) < len(low) else b"")
         return self.parts[core] + self.parts[low[len(core):]] if len(core) < len(low) else self.parts[core]
 
-    def text(self, text: str | None) -> bytes:
-        """The serialized ids of a text (null: empty) and the end id."""
-        if not text:
-            return self.end
+    def text(self, text: bytes) -> bytes:
+        """The serialized ids of a text in UTF-8 and the end id."""
         if self.word_wise:
-            return b"".join(map(self.words.__getitem__, text.encode().split())) + self.end
-        return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids) + self.end
+            return b"".join(map(self.words.__getitem__, text.split())) + self.end
+        return self._pack(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids) + self.end
 
 
 class _Shown(dict):
@@ -185,7 +183,7 @@ def encode(docs: DataFrame, definition: str, end_id: int = END_ID) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(shared.value, end_id)
         for b in batches:
-            ids = pa.array((encoder.text(t.as_py()) for t in b.column(1)), pa.binary())
+            ids = pa.array((encoder.text(t) for t in b.column(1).cast(pa.binary()).fill_null(b"").to_pylist()), pa.binary())
             yield pa.RecordBatch.from_arrays([b.column(0), ids], ["doc_id", "ids"])
 
     return (docs.select("doc_id", "text").mapInArrow(run, f"doc_id {id_type}, ids binary")
@@ -277,6 +275,8 @@ def write_token_files(encoded: DataFrame, dictionary: bytes, width: int, folder:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, known = TaskContext.get().partitionId(), _dictionary(shared.value)
+        if known:
+            known.precompute_compress(level=level)  # else each document would read the dictionary anew
         packer = zstandard.ZstdCompressor(level=level, dict_data=known, write_content_size=True)
         ids, counts, frames, size, seq = [], [], [], 0, 0
 

@@ -52,7 +52,7 @@ def test_word_by_word_ids_are_the_librarys(encoder, words, gap):
     text = gap.join(words)
     ids = encoder.tokenizer.encode(text, add_special_tokens=False).ids
     assert encoder.word_wise
-    assert np.frombuffer(encoder.text(text), encoder.dtype).tolist() == [*ids, 1]
+    assert np.frombuffer(encoder.text(text.encode()), encoder.dtype).tolist() == [*ids, 1]
 
 
 def test_a_tokenizer_of_another_kind_gets_whole_texts():
@@ -60,7 +60,7 @@ def test_a_tokenizer_of_another_kind_gets_whole_texts():
     other = token_files.Encoder(token_files.load_tokenizer(public_tokenizers.path("byte_bpe_50k.json")))
     assert not other.word_wise
     text = "  Two  blanks\n and é "
-    assert np.frombuffer(other.text(text), other.dtype).tolist() == [*other.tokenizer.encode(text, add_special_tokens=False).ids, 1]
+    assert np.frombuffer(other.text(text.encode()), other.dtype).tolist() == [*other.tokenizer.encode(text, add_special_tokens=False).ids, 1]
 
 
 def test_files_round_trip_in_order(spark, definition):
