@@ -1,11 +1,12 @@
 """Operator 6: exact duplicates by a tree merge of sorted digest runs.
 
-Every input partition sorts and thins its digests to one run. In each round the runs
-of ``fan_in`` neighbours meet: they are merged in digest order, of equal digests the
-best row stays and the counts add up. While the runs get fewer, each is cut into more
-digest ranges, so all tasks stay busy until one run, spread by range, is left. Only
-digests move; a group of copies has at most one entry in each run, however many rows
-it has.
+Rows are dealt to runs by their number, whatever their digest, so all runs are of one size.
+A task sorts its run and thins it: of equal digests the best row stays and the counts add
+up. In each round the runs of ``fan_in`` neighbours meet and are merged in digest order in
+the same way. While the runs get fewer, each is cut into more digest ranges, so all tasks
+stay busy until one run, spread by range, is left. A round exchanges by (run, range) alone:
+a task holds one range of one merged run. Only digests move; a group of copies has at most
+one entry in each run, however many rows it has.
 """
 
 from __future__ import annotations
@@ -26,21 +27,26 @@ def _digests(docs: DataFrame, runs: int) -> DataFrame:
                         F.regexp_replace(text, f"{BLANKS}+", "").alias("bare"))
             .select("doc_id", "n_points", "text_key", F.unhex(F.sha2("bare", 256)).alias("digest"),
                     F.xxhash64("bare").alias("check"), F.octet_length("bare").alias("n_bytes"),
-                    F.pmod(F.spark_partition_id(), F.lit(runs)).alias("run"),
-                    F.monotonically_increasing_id().alias("row")))
+                    F.monotonically_increasing_id().alias("row"))
+            .withColumn("run", F.pmod(F.xxhash64("row"), F.lit(runs)).cast("int")))
+
+
+def _merged(entries: DataFrame, *place: str) -> DataFrame:
+    """Entries with their new ``place`` (run, or run and slice): each is sorted by digest in one task and thinned."""
+    return (entries.repartition(*place).sortWithinPartitions(*place, *SAME)
+            .groupBy(*place, *SAME).agg(F.min("best").alias("best"), F.sum("n").alias("n")))
 
 
 def merge_runs(entries: DataFrame, runs: int, fan_in: int) -> DataFrame:
     """``(digest, check, n_bytes, run, best, n)`` of many runs -> the same of one run."""
     lead = F.conv(F.hex(F.substring("digest", 1, 2)), 16, 10).cast("int")
     slices = 1
-    while True:
+    entries = _merged(entries, "run")
+    while runs > 1:
         runs, slices = -(-runs // fan_in), min(slices * fan_in, 1 << 16)
-        entries = (entries.withColumn("run", F.floor(F.col("run") / fan_in).cast("int"))
-                   .groupBy("run", F.floor(lead * slices / 65536).cast("int").alias("slice"), *SAME)
-                   .agg(F.min("best").alias("best"), F.sum("n").alias("n")))
-        if runs == 1:
-            return entries.select(*SAME, "best", "n")
+        entries = _merged(entries.withColumn("run", F.floor(F.col("run") / fan_in).cast("int"))
+                          .withColumn("slice", F.floor(lead * slices / 65536).cast("int")), "run", "slice")
+    return entries.select(*SAME, "best", "n")
 
 
 def exact_duplicates(docs: DataFrame, runs: int | None = None, fan_in: int = 8) -> DataFrame:

@@ -134,3 +134,16 @@ def test_keep_and_drop_rows(spark):
 def test_bit_table_of_positions():
     x = np.array([0, 0xFF, 0x0101010101010101, 0x01010101], dtype=np.uint64)
     assert simhash._near(x, 4, 4).tolist() == [True, False, False, True]
+
+
+def test_a_task_of_the_merge_holds_one_slice_of_one_run(spark):
+    rows = exact_dedup._digests(documents(spark, [(i, f"text {i % 40}", "a") for i in range(400)]), 20)
+    entries = rows.selectExpr("digest", "check", "n_bytes", "run", "struct(row) AS best", "1L AS n")
+    merged = exact_dedup._merged(entries, "run")
+    for df, place in ((merged, ["run"]), (exact_dedup._merged(entries.withColumn("slice", F.col("run") % 3), "run", "slice"), ["run", "slice"])):
+        plan = re.sub(r"#\d+L?", "", df._jdf.queryExecution().executedPlan().toString())
+        assert plan.count("Exchange ") == 1 and f"hashpartitioning({', '.join(place)}, " in plan
+    thin = merged.groupBy("run", "digest").count()
+    assert thin.where("count > 1").count() == 0 and thin.select("run").distinct().count() == 20
+    final = exact_dedup.merge_runs(entries, 20, 3)
+    assert final.count() == 40 and final.agg(F.sum("n")).first()[0] == 400
