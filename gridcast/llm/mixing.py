@@ -1,12 +1,11 @@
 """Operator 10: mixing sources to target weights by weighted fair queueing.
 
 Each source is a queue of its documents in shuffled order, served in proportion to its
-target. A document copy finishes at virtual time (tokens of its source up to its end)
-/ (target of its source). Sorted globally by virtual time and cut at the budget, the mix
-would hold the copies up to virtual time 1, where all sources reach their targets and the
-total budget ends, and a document that lies across the line up to it. :func:`fair_mix`
-takes that cut in closed form, a prefix of each source up to its rounded target, and
-leaves the sort out; :func:`in_mix_order` sorts what is taken where the order matters.
+target. A document copy finishes at virtual time (words of its source up to its end)
+/ (target of its source). At virtual time 1 all sources reach their targets; a copy that
+lies across that line is two pieces, which finish at 1 and later. The pieces are range-sorted
+globally by finish time and cut at the total budget by sums per range; what the cut leaves
+of each source is how far its queue is served, and so what is taken of each document.
 """
 
 from __future__ import annotations
@@ -14,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD
+from .common import WORD, saved
 
 #: Columns that the mix adds; input columns of these names are replaced.
 ADDED = ["size", "source_size", "target", "before", "taken"]
@@ -73,12 +72,44 @@ def fair_mix(docs: DataFrame, cycle: int = 3, max_repeats: int = 3, seed: str =
               .rowsBetween(Window.unboundedPreceding, -1))
     rows = rows.join(of_cell, F.col("source").eqNullSafe(F.col("__source")) & (F.col("__cell") == F.col("__c")))
     rows = rows.withColumn("before", F.col("__offset") + F.coalesce(F.sum("size").over(inside), F.lit(0).cast("long")))
-    line = F.floor(F.col("target") + 0.5)
+    served = serve(rows, max_repeats).select(F.col("source").alias("__of"), F.col("served").alias("__line"))
+    rows = rows.join(served, F.col("source").eqNullSafe(F.col("__of")), "left")
+    line = F.coalesce("__line", F.lit(0).cast("long"))
     taken = sum((F.greatest(F.lit(0), F.least(F.col("size"), line - F.col("before") - F.col("source_size") * e))
                  for e in range(max_repeats)), F.lit(0)).cast("long")
     return rows.select(*cols, "size", "source_size", "target", "before", taken.alias("taken"))
 
 
+def serve(rows: DataFrame, max_repeats: int) -> DataFrame:
+    """``(source, served)``: words of each source that the global cut at the budget leaves.
+
+    ``rows`` are (source, size, source_size, target, before). The budget is the sum of the
+    rounded targets. Only these numbers move; they are written once, in finish order.
+    """
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    mark = F.floor(F.col("target") + 0.5)  # words of the source up to virtual time 1
+    begin = F.col("before") + F.col("source_size") * F.col("copy")
+    end = begin + F.col("size")
+    queue = (rows.where("size > 0").select("source", "size", "source_size", "target", "before",
+                                           F.explode(F.sequence(F.lit(0), F.lit(max_repeats - 1))).alias("copy")))
+    early = F.struct(F.when(end < mark, end / F.col("target")).otherwise(1.0).alias("finish"),
+                     (F.least(end, mark) - begin).alias("words"))
+    late = F.struct((end / F.col("target")).alias("finish"), (end - F.greatest(begin, mark)).alias("words"))
+    pieces = (queue.select("source", "before", "copy", F.inline(F.array(early, late))).where("words > 0"))
+    order = ["finish", "source", "before", "copy"]
+    ranged = saved(pieces.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
+                   .withColumn("range", F.spark_partition_id()))
+    earlier = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # one row per range
+    ranges = ranged.groupBy("range").agg(F.sum("words").alias("n")).select(
+        F.col("range").alias("__range"), F.coalesce(F.sum("n").over(earlier), F.lit(0).cast("long")).alias("__first"))
+    budget = rows.select("source", mark.alias("mark")).distinct().agg(F.coalesce(F.sum("mark"), F.lit(0).cast("long")).alias("budget"))
+    inside = Window.partitionBy("range").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = (ranged.withColumn("__own", F.coalesce(F.sum("words").over(inside), F.lit(0).cast("long")))
+              .join(ranges, F.col("range") == F.col("__range")).crossJoin(F.broadcast(budget)))  # one row
+    left = F.col("budget") - F.col("__first") - F.col("__own")
+    return placed.groupBy("source").agg(F.sum(F.greatest(F.lit(0), F.least(F.col("words"), left))).alias("served"))
+
+
 def in_mix_order(mixed: DataFrame) -> DataFrame:
     """The rows that the mix takes, range-sorted by the virtual time at which their first copy ends."""
     finish = (F.col("before") + F.col("size")) / F.col("target")
