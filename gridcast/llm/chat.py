@@ -92,19 +92,23 @@ def parse(formatted: DataFrame) -> DataFrame:
 
 
 def log_of_turns(conversations: DataFrame, chunk: int = 512) -> DataFrame:
-    """Rows by turn -> a log: other roles' turns as one ``message``, an assistant's as an
-    empty ``message`` and streamed ``delta`` events of ``chunk`` code points.
+    """Rows by turn -> a log as a chat service would write it.
 
-    Each row is a message of its own, also where (conv_id, turn) repeats.
+    Another role's turn is a ``message`` with a draft and an ``edit`` to its text. An
+    assistant's turn is an empty ``message``, a ``delta`` that does not last, a
+    ``regenerate`` and the text in ``delta`` events of ``chunk`` code points. Drafts are at
+    most ``chunk`` code points. Each row is a message of its own, also where
+    (conv_id, turn) repeats.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     streamed = F.coalesce(F.col("role") == LOSS_ROLE, F.lit(False))
-    last = F.when(streamed, F.ceil(F.char_length(text) / F.lit(chunk))).otherwise(0).cast("int")
+    last = F.when(streamed, 2 + F.ceil(F.char_length(text) / F.lit(chunk))).otherwise(1).cast("int")
     rows = conversations.select("conv_id", "turn", "role", text.alias("text"), streamed.alias("streamed"),
                                 last.alias("last"), F.monotonically_increasing_id().alias("msg"))
-    part = F.when(~F.col("streamed"), F.col("text")).when(F.col("step") == 0, F.lit("")).otherwise(
-        F.col("text").substr((F.col("step") - 1) * chunk + 1, F.lit(chunk)))
+    step, draft = F.col("step"), F.reverse(F.left("text", F.lit(chunk)))
+    kind = (F.when(step == 0, "message").when(~F.col("streamed"), "edit").when(step == 2, "regenerate").otherwise("delta"))
+    part = (F.when(F.col("streamed"), F.when(step == 1, draft).when(step < 3, F.lit("")).otherwise(
+        F.col("text").substr((step - 3) * chunk + 1, F.lit(chunk)))).otherwise(F.when(step == 0, draft).otherwise(F.col("text"))))
     return (rows.withColumn("step", F.explode(F.sequence(F.lit(0), F.col("last"))))
-            .select("conv_id", "msg", F.struct("turn", "step").alias("seq"),
-                    F.when(F.col("step") == 0, F.lit("message")).otherwise(F.lit("delta")).alias("kind"),
-                    F.when(F.col("step") == 0, F.col("role")).alias("role"), part.alias("text")))
+            .select("conv_id", "msg", F.struct("turn", "step").alias("seq"), kind.alias("kind"),
+                    F.when(step == 0, F.col("role")).alias("role"), part.alias("text")))

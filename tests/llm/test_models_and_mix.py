@@ -205,3 +205,42 @@ def test_word_counts(spark):
     df = spark.createDataFrame([("a b\x0bc",), ("",), (None,), (" \t",), ("é x y z",)], "text string")
     assert [r[0] for r in df.select(mixing.word_count().cast("int")).collect()] == [3, 0, 0, 0, 2]
     assert df.select(F.count("*")).first()[0] == 5
+
+
+def test_the_cut_of_the_sorted_queue_equals_a_plain_queue(spark):
+    r = random.Random(11)
+    docs = documents(spark, [(i, "w " * r.choice([0, 1, 3, 20, 150]), r.choice(["a", "a", "a", "b", "c", None])) for i in range(300)])
+    rows = mixing.fair_mix(docs.withColumn("size", mixing.word_count()), cells=16)
+    plain, budget = [], 0
+    for x in rows.collect():
+        for copy in range(3):
+            begin = x["before"] + x["source_size"] * copy
+            end, mark = begin + x["size"], int(np.floor(x["target"] + 0.5))
+            if begin < mark and x["size"]:
+                plain.append((end / x["target"] if end < mark else 1.0, min(end, mark) - begin, x["source"]))
+            if end > mark and x["size"]:
+                plain.append((end / x["target"], end - max(begin, mark), x["source"]))
+    marks = {x["source"]: int(np.floor(x["target"] + 0.5)) for x in rows.collect()}
+    budget, served = sum(marks.values()), dict.fromkeys(marks, 0)
+    for _, words, source in sorted(plain, key=lambda p: p[0]):
+        served[source] += min(words, budget)
+        budget -= min(words, budget)
+    got = {x["source"]: x["served"] for x in mixing.serve(rows, 3).collect()}
+    assert got == served == marks
+
+
+def test_the_log_of_a_service_folds_to_its_turns(spark):
+    rows = [(1, 0, "user", "a<|b" * 700), (1, 1, "assistant", "x" * 1500), (1, 2, None, None), (2, 0, "assistant", "")]
+    log = chat.log_of_turns(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    assert {x["kind"] for x in log.select("kind").collect()} == {"message", "edit", "regenerate", "delta"}
+    got = {(x["conv_id"], x["role"], x["text"]) for x in chat.fold_messages(log).collect()}
+    assert got == {(c, role or "", text or "") for c, _, role, text in rows}
+
+
+def test_language_of_held_out_documents(spark):
+    sf = "/root/testdata/sf0.01"
+    found = queries.QUERIES["op4_language_id"](spark, sf).where("held_out")
+    truth = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang").where("lang IS NOT NULL")
+    right = found.join(truth, "doc_id").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("double")), F.count("*")).first()
+    assert right[1] > 200 and right[0] >= 0.97
+    assert found.where("NOT score BETWEEN 0 AND 1").count() == 0
