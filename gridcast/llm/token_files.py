@@ -56,7 +56,7 @@ _WORDWISE_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex
 _WORDWISE_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Characters whose class, lower case and normal form are the same in every version of Unicode in use
 #: (Latin letters and punctuation; U+00A0, U+00AD and U+0130 are left to the library).
-_PLAIN = regex.compile("[\x21-\x7e¡-¬®-įı-ſ]+")
+_PLAIN, _LAST_PLAIN = regex.compile("[\x21-\x7e¡-¬®-įı-ſ]+"), "ſ"
 
 
 class Encoder:
@@ -85,7 +85,8 @@ class Encoder:
             and steps[0].get("pattern") == {"Regex": _WORDWISE_PATTERN} and steps[0].get("invert") is True
             and steps[0].get("behavior") == "Removed" and steps[1]["type"] == "ByteLevel"
             and not steps[1]["use_regex"] and not steps[1]["add_prefix_space"]
-            and not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in spec.get("added_tokens", [])))
+            and not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in spec.get("added_tokens", []))
+            and not any(a.rstrip(_SIGNS.decode()).isalpha() for a in self.added))
         self.byte_level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         self.pattern = regex.compile(_WORDWISE_PATTERN)
         self.shown = _Shown(self.byte_level)
@@ -107,16 +108,19 @@ class Encoder:
     def word(self, word: bytes) -> bytes:
         low = word.lower()  # A-Z
         core = low.rstrip(_SIGNS)
+        letters = core
         if not core.isalpha():  # a-z
-            text = word.decode()
-            plain = _PLAIN.fullmatch(text)
-            letters = core.decode().lower() if plain else ""
-            if not plain or any(a in text for a in self.added):
-                return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
-            if not letters.isalpha():
-                return b"".join([self.parts[p.encode()] for p in self.pattern.findall(text.lower())])
-            return self.parts[letters.encode()] + (self.parts[low[len(core):]] if len(core) < len(low) else b"")
-        return self.parts[core] + self.parts[low[len(core):]] if len(core) < len(low) else self.parts[core]
+            plain = core.decode().lower()
+            if not plain.isalpha() or max(plain) > _LAST_PLAIN:
+                return self._mixed_word(word.decode())
+            letters = plain.encode()
+        ids = self.parts[letters]
+        return ids if len(core) == len(low) else ids + self.parts[low[len(core):]]
+
+    def _mixed_word(self, text: str) -> bytes:
+        if _PLAIN.fullmatch(text) and not any(a in text for a in self.added):
+            return b"".join([self.parts[p.encode()] for p in self.pattern.findall(text.lower())])
+        return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def text(self, text: bytes) -> bytes:
         """The serialized ids of a text in UTF-8 and the end id."""

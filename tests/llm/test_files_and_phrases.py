@@ -46,7 +46,7 @@ def plain_ids(definition, text):
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.one_of(st.text(max_size=12), st.sampled_from(
     ["don't", "I'LL", "x'S", "É", "é", "İi", "ŉ", "ſt", "µm²", "½", "a<|endoftext|>b", "<|endoftext|", "\x1c", "\x85", " ", "­",
-     " ", "́", "각", "ΑΣ", "ǅ", "١٢", "中文", "\x00", "﻿", "l'été", "...!?", "12345"])), max_size=8),
+     " ", "́", "각", "ΑΣ", "ǅ", "١٢", "中文", "\x00", "﻿", "l'été", "...!?", "12345", "K", "Å", "ẞx", "ẞ*", "Ça,", "Ça|", "ŉ!"])), max_size=8),
     st.sampled_from([" ", "  ", "\n", "\t", "\r\n", ""]))
 def test_word_by_word_ids_are_the_librarys(encoder, words, gap):
     text = gap.join(words)
