@@ -34,10 +34,14 @@ _CATS = "CASE WHEN k < 34 THEN 'prod_maint' WHEN k < 67 THEN 'gen_maint' ELSE 'g
 def _supply_inputs(spark, t):
     ev = t("events", "event_type", "ts", "value", "props")
     hour = F.date_trunc("hour", "ts").alias("ts")
-    gen = (ev.filter(F.col("event_type").isin(GEN)).groupBy(F.col("event_type").alias("type"), hour)
-           .agg(F.sum("value").alias("value")))
-    net = ev.filter(F.col("event_type") == "purchase").groupBy(hour).agg(F.sum("value").alias("net_position"))
-    wx = ev.groupBy(hour).agg(*_weather_aggs(SUPPLY_WEATHER))
+
+    def total(kind, name):
+        return F.sum(F.when(F.col("event_type") == kind, F.col("value"))).alias(name)
+
+    # one pass for all roles; the hours are bounded by the calendar and written once
+    hours = cut_lineage(ev.groupBy(hour).agg(*[total(g, g) for g in GEN], total("purchase", "net_position"), *_weather_aggs(SUPPLY_WEATHER)))
+    gen = hours.unpivot("ts", GEN, "type", "value").where("value IS NOT NULL")
+    net, wx = hours.select("ts", "net_position"), hours.select("ts", *SUPPLY_WEATHER)
     k = F.regexp_extract("props", r'"k": ([^}]*)', 1).try_cast("int")
     out = (ev.filter(F.col("event_type") == "error")
            .select(F.when(k < 34, "prod_maint").when(k < 67, "gen_maint").otherwise("gen_outages").alias("category"),
