@@ -84,13 +84,18 @@ def folds_of(spark, sf_dir, name: str, cal_days: int = 0) -> DataFrame:
 
 
 def fits_of(spark, sf_dir, name: str, models=MODELS, cal_days: int = 0) -> DataFrame:
-    """The fit table of a horizon: every model of every fold with enough rows."""
-    def build():
+    """The fit table of a horizon: every model of every fold with enough rows. Each model is written on its own,
+    so that queries of one model and of all share it."""
+    def build(model: str) -> DataFrame:
         return walk_forward(feature_table(spark, sf_dir, name), folds_of(spark, sf_dir, name, cal_days), series=SERIES, ts="ts",
-                            y=TARGET, features=feature_columns(HORIZONS[name]), models=models, min_train=MIN_TRAIN,
+                            y=TARGET, features=feature_columns(HORIZONS[name]), models=(model,), min_train=MIN_TRAIN,
                             min_cal=MIN_CAL if cal_days else 0, folds_per_task=1)  # one series here, so folds are the tasks
 
-    return shared(spark, ("fits", sf_dir, name, tuple(models), cal_days), build)
+    out = None
+    for model in models:
+        own = shared(spark, ("fits", sf_dir, name, model, cal_days), lambda model=model: build(model))
+        out = own if out is None else out.unionByName(own)
+    return out
 
 
 def with_benchmarks(spark, sf_dir, name: str, fits: DataFrame) -> DataFrame:
