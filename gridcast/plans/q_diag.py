@@ -12,6 +12,7 @@ from .diagnostics import (acf_column, adf_test, arch_lm, autocovariances, diebol
 from .q_aggs import SQL_PRED, predictions, wide_predictions
 from .features import HORIZONS, build_features, difference_gate, feature_columns
 from .q_model import hourly_inputs
+from .inputs import event_hourly
 from .registry import Tables, query
 
 G = ["series_id", "model"]
@@ -70,6 +71,41 @@ def q_dm(spark, sf_dir):
     return diebold_mariano(long, G, "ts", "e", "e_bench", 48)
 
 
+_DM_LAGS = 48
+_BENCHMARKS = {"naive": "naive24", "operator": "operator"}
+_BENCH_SQL = f"""
+WITH {SQL_PRED},
+o AS (SELECT ts, sum(value) / 5 AS operator FROM h GROUP BY ts),
+x AS (SELECT p.series_id, p.model, p.ts, p.yhat - p.y AS e, c.naive24 - p.y AS e_naive, o.operator - p.y AS e_operator
+      FROM p JOIN c USING (series_id, ts) JOIN o USING (ts) WHERE p.model <> 'naive24'),
+d AS (SELECT series_id, model, ts, e, b, eb, abs(e) - abs(eb) AS d FROM (
+  SELECT series_id, model, ts, e, 'naive' AS b, e_naive AS eb FROM x UNION ALL SELECT series_id, model, ts, e, 'operator', e_operator FROM x)),
+m AS (SELECT *, d - avg(d) OVER (PARTITION BY series_id, model, b) AS c FROM d),
+z AS (SELECT *, {", ".join(f"lag(c, {k}) OVER w AS l{k}" for k in range(1, _DM_LAGS + 1))} FROM m WINDOW w AS (PARTITION BY series_id, model, b ORDER BY ts)),
+s AS (SELECT series_id, model, b, count(*) AS n, avg(abs(e)) AS mae, avg(abs(eb)) AS mae_benchmark, avg(d) AS mean, (sum(c * c)
+      + 2 * ({" + ".join(f"{1 - k / (_DM_LAGS + 1)} * coalesce(sum(c * l{k}), 0)" for k in range(1, _DM_LAGS + 1))})) / count(*) AS v FROM z GROUP BY 1, 2, 3)
+SELECT series_id, model, b AS benchmark, n, mae, (mae_benchmark - mae) / mae_benchmark * 100 AS skill, mean / sqrt(v / n) AS dm_stat FROM s"""
+
+
+@query("e9_external_benchmark", _BENCH_SQL, doubles=["mae", "skill", "dm_stat"])
+def q_external(spark, sf_dir):
+    """Each model against two benchmarks, persistence (lag 24) and an external one (the mean of all series, as an
+    operator's forecast), on the hours that all have: MAE, skill and the Diebold-Mariano statistic (48 lags)."""
+    t = Tables(spark, sf_dir)
+    operator = event_hourly(t).groupBy("ts").agg((F.sum("value") / 5).alias("operator"))
+    w = cut_lineage(wide_predictions(t).join(operator, "ts"))  # written once: errors against both benchmarks
+    models = ["naive168", "mean24"]
+    long = w.select("series_id", "ts", "y", *[F.col(c).alias(f"_{b}") for b, c in _BENCHMARKS.items()], *models).unpivot(
+        ["series_id", "ts", "y", *[f"_{b}" for b in _BENCHMARKS]], models, "model", "yhat")
+    errors = long.unpivot(["series_id", "ts", "y", "model", "yhat"], [f"_{b}" for b in _BENCHMARKS], "benchmark", "yb").select(
+        "series_id", "model", F.substring("benchmark", 2, 20).alias("benchmark"), "ts", (F.col("yhat") - F.col("y")).alias("e"),
+        (F.col("yb") - F.col("y")).alias("e_b"))
+    g = [*G, "benchmark"]
+    mae = errors.groupBy(*g).agg(F.count(F.lit(1)).alias("n"), F.avg(F.abs("e")).alias("mae"), F.avg(F.abs("e_b")).alias("mae_b"))
+    skill = mae.select(*g, "n", "mae", ((F.col("mae_b") - F.col("mae")) / F.col("mae_b") * 100).alias("skill"))
+    return skill.join(diebold_mariano(errors, g, "ts", "e", "e_b", _DM_LAGS).drop("dm_p"), g)
+
+
 @query("i14_bias_test_hac")
 def q_bias(spark, sf_dir):
     """Is the mean error zero? HAC (Bartlett, 48 lags) z-test."""

@@ -34,15 +34,14 @@ def _order_dates(t):
 
 
 @query("c2_inner_align", f"""
-WITH h AS ({SQL_EVENT_HOURLY})
-SELECT a.ts, a.value AS click, b.value AS view FROM h a JOIN h b ON a.ts = b.ts
-WHERE a.series_id = 'click' AND b.series_id = 'view'""", doubles=["click", "view"])
+WITH h AS ({SQL_EVENT_HOURLY}), p AS (SELECT date_trunc('hour', ts) AS ts, sum(value) AS purchases FROM events
+  WHERE event_type = 'purchase' GROUP BY 1)
+SELECT h.series_id, h.ts, h.value, p.purchases FROM h JOIN p ON h.ts = p.ts""", doubles=["value", "purchases"])
 def q_inner(spark, sf_dir):
-    """Inner alignment of two hourly series."""
+    """Every hourly series aligned with the purchases on the hours that both have."""
     h = event_hourly(Tables(spark, sf_dir))
-    a = h.filter(F.col("series_id") == "click").select("ts", F.col("value").alias("click"))
-    b = h.filter(F.col("series_id") == "view").select("ts", F.col("value").alias("view"))
-    return inner_align(a, b, ["ts"])
+    p = h.filter(F.col("series_id") == "purchase").select("ts", F.col("value").alias("purchases"))
+    return inner_align(h, p, ["ts"])
 
 
 @query("c3_full_align", f"""

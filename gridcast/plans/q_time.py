@@ -298,21 +298,16 @@ def q_stitch(spark, sf_dir):
                            "2024-01-20 00:00:00")
 
 
-@query("g4_intersect_keys", """
-SELECT date_trunc('hour', ts) AS ts FROM events WHERE event_type = 'click'
-INTERSECT SELECT date_trunc('hour', ts) FROM events WHERE event_type = 'view'""")
+@query("g4_intersect_keys", "SELECT o_orderdate AS ts FROM orders INTERSECT SELECT l_shipdate FROM lineitem")
 def q_intersect(spark, sf_dir):
-    """Hours present in both series."""
-    h = event_hourly(Tables(spark, sf_dir))
-    return (h.filter(F.col("series_id") == "click").select("ts")
-            .intersect(h.filter(F.col("series_id") == "view").select("ts")))
+    """Days with both an order and a shipment."""
+    t = Tables(spark, sf_dir)
+    return t("orders", "o_orderdate").select(F.col("o_orderdate").alias("ts")).intersect(t("lineitem", "l_shipdate"))
 
 
-@query("g5_difference_keys", """
-SELECT date_trunc('hour', ts) AS ts FROM events WHERE event_type = 'click'
-EXCEPT SELECT date_trunc('hour', ts) FROM events WHERE event_type = 'view'""")
+@query("g5_difference_keys", "SELECT l_shipdate AS ts FROM lineitem EXCEPT SELECT o_orderdate FROM orders")
 def q_except(spark, sf_dir):
-    """Hours of one series missing from another (anti join)."""
-    h = event_hourly(Tables(spark, sf_dir))
-    c = h.filter(F.col("series_id") == "click").select("ts").distinct()
-    return c.join(h.filter(F.col("series_id") == "view").select("ts"), "ts", "left_anti")
+    """Days with shipments and no order (anti join)."""
+    t = Tables(spark, sf_dir)
+    shipped = t("lineitem", "l_shipdate").select(F.col("l_shipdate").alias("ts")).distinct()
+    return shipped.join(t("orders", "o_orderdate").select(F.col("o_orderdate").alias("ts")), "ts", "left_anti")
