@@ -21,6 +21,7 @@ from .common import bounded_sample
 
 UNKNOWN = "und"
 _POINT = 21  # bits of a code point
+_PART = 1 << 20  # code points whose n-grams are held at a time, but for a longer text
 _LETTER: list[np.ndarray] = []
 
 
@@ -81,7 +82,8 @@ def learn_profiles(docs: DataFrame, length: int = 300, docs_per_lang: int = 4000
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = pd.DataFrame({"text": b.column(0).to_pylist(), "lang": b.column(1).to_pylist()})
-            for lang, own in texts.groupby("lang"):
+            texts["part"] = texts["text"].str.len().fillna(0).cumsum() // _PART  # n-grams of so many code points at a time
+            for (lang, _), own in texts.groupby(["lang", "part"]):
                 grams, n = np.unique(np.concatenate([ngrams(t) for t in own["text"]]), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(grams), pa.string()), pa.array(grams),
                                                   pa.array(n.astype(np.int64))], ["lang", "gram", "n"])
