@@ -59,21 +59,29 @@ def fair_mix(docs: DataFrame, cycle: int = 3, max_repeats: int = 3, seed: str =
     take nothing. No rows in: no rows out.
     """
     cols = [c for c in docs.columns if c not in ADDED]
-    key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    rows = docs.select(*cols, "size", key.alias("__key"))
-    rows = rows.withColumn("__cell", F.floor(F.conv(F.substring("__key", 1, 4), 16, 10).cast("int") * cells / 65536))
-    sums = rows.groupBy("source", "__cell").agg(F.sum("size").alias("cell_size"))
+    slim = saved(docs.select("doc_id", "source", "size"))  # all steps but the last read these three columns
+
+    def celled(rows: DataFrame) -> DataFrame:
+        key = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+        return rows.withColumn("__key", key).withColumn(
+            "__cell", F.floor(F.conv(F.substring("__key", 1, 4), 16, 10).cast("int") * cells / 65536))
+
+    sums = celled(slim).groupBy("source", "__cell").agg(F.sum("size").alias("cell_size"))
     sized = targets(sums.groupBy("source").agg(F.sum("cell_size").alias("source_size")), cycle, max_repeats)
     earlier = Window.partitionBy("source").orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
     offset = sums.withColumn("__offset", F.coalesce(F.sum("cell_size").over(earlier), F.lit(0).cast("long")))
-    of_cell = (offset.join(sized.withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s")))
-               .select(F.col("source").alias("__source"), F.col("__cell").alias("__c"), "__offset", "source_size", "target"))
-    inside = (Window.partitionBy("source", "__cell").orderBy("__key", "doc_id", "size")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    rows = rows.join(of_cell, F.col("source").eqNullSafe(F.col("__source")) & (F.col("__cell") == F.col("__c")))
-    rows = rows.withColumn("before", F.col("__offset") + F.coalesce(F.sum("size").over(inside), F.lit(0).cast("long")))
-    served = serve(rows, max_repeats).select(F.col("source").alias("__of"), F.col("served").alias("__line"))
-    rows = rows.join(served, F.col("source").eqNullSafe(F.col("__of")), "left")
+    of_cell = saved(offset.join(sized.withColumnRenamed("source", "__s"), F.col("source").eqNullSafe(F.col("__s"))).select(
+        F.col("source").alias("__source"), F.col("__cell").alias("__c"), "__offset", "source_size", "target"))
+
+    def placed(rows: DataFrame) -> DataFrame:
+        """With the words of the source before each row."""
+        inside = (Window.partitionBy("source", "__cell").orderBy("__key", "doc_id", "size")
+                  .rowsBetween(Window.unboundedPreceding, -1))
+        rows = celled(rows).join(of_cell, F.col("source").eqNullSafe(F.col("__source")) & (F.col("__cell") == F.col("__c")))
+        return rows.withColumn("before", F.col("__offset") + F.coalesce(F.sum("size").over(inside), F.lit(0).cast("long")))
+
+    served = serve(placed(slim), max_repeats).select(F.col("source").alias("__of"), F.col("served").alias("__line"))
+    rows = placed(docs.select(*cols, "size")).join(served, F.col("source").eqNullSafe(F.col("__of")), "left")
     line = F.coalesce("__line", F.lit(0).cast("long"))
     taken = sum((F.greatest(F.lit(0), F.least(F.col("size"), line - F.col("before") - F.col("source_size") * e))
                  for e in range(max_repeats)), F.lit(0)).cast("long")
